@@ -79,7 +79,7 @@ def transect(
         )
     share = F.col("point") / F.lit(float(n - 1))
     points = (
-        lines.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).cast("bigint"))
+        lines.withColumn("point", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))))
         .withColumn("_lat", F.col("lat0") + share * (F.col("lat1") - F.col("lat0")))
         .withColumn("_lon", F.col("lon0") + share * (F.col("lon1") - F.col("lon0")))
         .withColumn(
@@ -124,13 +124,12 @@ def _bracket(points: DataFrame, cells: DataFrame, p: str, axis: str) -> DataFram
     The axis itself is one distinct list of coordinates, no longer than the axis.
     """
     whole = cells.agg(F.sort_array(F.collect_set(F.col(axis))).alias("_a"))
-    first, last = F.element_at("_a", 1), F.element_at("_a", -1)
     usable = whole.filter(F.size("_a") > 1)
-    slot_width = ((last - first) / (F.size("_a") - 1)).alias("w")
-    span = usable.select(F.struct(first.alias("lo"), last.alias("hi"), slot_width)).scalar()
+    size, low, high = cells.agg(F.count_distinct(F.col(axis)), F.min(axis), F.max(axis)).first()
+    width = (high - low) / (size - 1) if size > 1 else 1.0
 
     def slot(c: Column) -> Column:
-        return F.floor((c - span["lo"]) / span["w"]).cast("bigint")
+        return F.floor((c - F.lit(low)) / F.lit(width)).cast("bigint")
 
     lower = F.expr("slice(_a, 1, size(_a) - 1)")
     upper = F.expr("slice(_a, 2, size(_a) - 1)")
@@ -146,7 +145,7 @@ def _bracket(points: DataFrame, cells: DataFrame, p: str, axis: str) -> DataFram
         & (here[p] >= slots[f"{axis}_lo"])
         & (
             (here[p] < slots[f"{axis}_hi"])
-            | ((here[p] == slots[f"{axis}_hi"]) & (slots[f"{axis}_hi"] == span["hi"]))
+            | ((here[p] == slots[f"{axis}_hi"]) & (slots[f"{axis}_hi"] == F.lit(high)))
         )
     )
     return here.join(slots, inside, "left").drop(here["_slot"], slots["_slot"])

@@ -229,22 +229,29 @@ def contrast(df: DataFrame, var: str, by: str, cond_a: Column, cond_b: Column) -
 def histogram(df: DataFrame, var: str, bins: int = 50) -> DataFrame:
     """Counts in equal bins between min and max over all rows; empty bins stay."""
     v = col(var).cast("double")
-    ends = df.agg(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))).scalar()
-    flat = ends["lo"] == ends["hi"]
-    low = F.when(flat, ends["lo"] - 0.5).otherwise(ends["lo"])
-    width = F.when(flat, F.lit(1.0)).otherwise(ends["hi"] - ends["lo"]) / F.lit(float(bins))
+    ends = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
+    flat = F.col("lo") == F.col("hi")
+    low = F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo"))
+    width = F.when(flat, F.lit(1.0)).otherwise(F.col("hi") - F.col("lo")) / F.lit(float(bins))
+    edges = ends.select(F.struct(low.alias("low"), width.alias("width"))).scalar()
     counts = (
-        df.filter(v.isNotNull())
-        .select(F.least(F.floor((v - low) / width), F.lit(bins - 1)).cast("bigint").alias("bin"))
+        df.select(v.alias("_v"))
+        .filter(F.col("_v").isNotNull())
+        .withColumn("_e", edges)
+        .select(F.least(F.floor((F.col("_v") - F.col("_e.low")) / F.col("_e.width")), F.lit(bins - 1)).alias("bin"))
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("count"))
     )
     every = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
-    return every.join(counts, "bin", "left").select(
-        "bin",
-        (low + F.col("bin") * width).alias("bin_start"),
-        (low + (F.col("bin") + 1) * width).alias("bin_end"),
-        F.coalesce("count", F.lit(0)).alias("count"),
+    return (
+        every.join(counts, "bin", "left")
+        .withColumn("_e", edges)
+        .select(
+            "bin",
+            (F.col("_e.low") + F.col("bin") * F.col("_e.width")).alias("bin_start"),
+            (F.col("_e.low") + (F.col("bin") + 1) * F.col("_e.width")).alias("bin_end"),
+            F.coalesce("count", F.lit(0)).alias("count"),
+        )
     )
 
 
@@ -254,40 +261,42 @@ def kde(df: DataFrame, var: str, points: int = 100, fine_bins: int = 512) -> Dat
     The data shrink to at most ``fine_bins`` weighted centres in one aggregate;
     these travel as one bounded array, so no join is needed to evaluate them.
     """
-    v = col(var).cast("double")
-    valid = df.filter(v.isNotNull())
+    valid = df.select(col(var).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    spread = F.max("_v") - F.min("_v")
     stats = valid.agg(
         F.struct(
-            F.min(v).alias("lo"), F.max(v).alias("hi"), F.stddev_samp(v).alias("sd"), F.count(v).alias("n")
+            F.min("_v").alias("lo"),
+            (spread / F.lit(float(fine_bins))).alias("width"),
+            (spread / F.lit(float(points - 1))).alias("gap"),
+            (F.stddev_samp("_v") * F.pow(F.count("_v").cast("double"), F.lit(-0.2))).alias("h"),
+            F.count("_v").alias("n"),
         )
     ).scalar()
-    width = (stats["hi"] - stats["lo"]) / F.lit(float(fine_bins))
-    h = stats["sd"] * F.pow(stats["n"].cast("double"), F.lit(-0.2))
+    position = F.try_divide(F.col("_v") - F.col("_s.lo"), F.col("_s.width"))
     centres = (
-        valid.filter(stats["hi"] > stats["lo"])
-        .select(F.least(F.floor((v - stats["lo"]) / width), F.lit(fine_bins - 1)).cast("bigint").alias("bin"))
+        valid.withColumn("_s", stats)
+        .select(F.least(F.floor(position), F.lit(fine_bins - 1)).alias("bin"))
+        .filter(F.col("bin").isNotNull())
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("bins"))
+        .agg(F.collect_list(F.struct("bin", "n")).alias("bins"))
+        .filter(F.size("bins") > 0)
+        .withColumn("bins", F.sort_array("bins"))
+        .withColumn("_s", stats)
     )
-    spaced = (
-        centres.select("bins", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).cast("bigint").alias("point"))
-        .withColumn("x", stats["lo"] + F.col("point") * (stats["hi"] - stats["lo"]) / F.lit(float(points - 1)))
-        .withColumn("lo", stats["lo"])
-        .withColumn("width", width)
-        .withColumn("h", h)
-        .withColumn("n", stats["n"])
+    first, last = F.lit(0).cast("bigint"), F.lit(points - 1).cast("bigint")
+    spaced = centres.select("bins", "_s", F.explode(F.sequence(first, last)).alias("point")).withColumn(
+        "x", F.col("_s.lo") + F.col("point") * F.col("_s.gap")
     )
 
     def add(total: Column, entry: Column) -> Column:
-        centre = F.col("lo") + (entry["bin"] + 0.5) * F.col("width")
-        u = (F.col("x") - centre) / F.col("h")
+        centre = F.col("_s.lo") + (entry["bin"] + 0.5) * F.col("_s.width")
+        u = (F.col("x") - centre) / F.col("_s.h")
         return total + entry["n"] * F.exp(u * u * F.lit(-0.5))
 
     weight = F.aggregate("bins", F.lit(0.0), add)
-    return spaced.filter(F.size("bins") > 0).select(
-        "point", "x", (weight / (F.col("n") * F.col("h") * F.sqrt(F.lit(2.0) * F.pi()))).alias("density")
-    )
+    scale = F.col("_s.n") * F.col("_s.h") * F.sqrt(F.lit(2.0) * F.pi())
+    return spaced.select("point", "x", (weight / scale).alias("density"))
 
 
 def calendar_stats(df: DataFrame, var: str, unit: str = "month", time: str = "time") -> DataFrame:

@@ -60,8 +60,7 @@ def spectrum(df: DataFrame, var: str, by: Sequence[str] | None = None, time: str
             result.insert(0, g, series[g].iloc[0])
         return result[result["period_days"] > 0]
 
-    keys = [col(g) for g in groups] if groups else [F.lit(0)]
-    return steps.groupBy(*keys).applyInPandas(transform, schema)
+    return steps.groupBy(*[col(g) for g in groups]).applyInPandas(transform, schema)
 
 
 def peak_period(spec: DataFrame, by: Sequence[str] | None = None) -> DataFrame:

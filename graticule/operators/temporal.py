@@ -90,12 +90,12 @@ def _fill_between(
     """
     order = Window.partitionBy(*[col(g) for g in groups]).orderBy(time)
     following = F.lead(time).over(order)
-    last = col(time) if span is None else span["b"]
-    ahead = out.withColumn("_to", F.coalesce(following - step(freq), last))
-    if span is None:
-        ahead = ahead.withColumn("_from", col(time))
-    else:
-        ahead = ahead.withColumn("_from", F.when(F.lag(time).over(order).isNull(), span["a"]).otherwise(col(time)))
+    start, last = col(time), col(time)
+    if span is not None:
+        out = out.withColumn("_span", span)
+        start = F.when(F.lag(time).over(order).isNull(), F.col("_span.a")).otherwise(col(time))
+        last = F.col("_span.b")
+    ahead = out.withColumn("_to", F.coalesce(following - step(freq), last)).withColumn("_from", start)
     spread = ahead.withColumn("_bucket", F.explode(F.sequence("_from", "_to", step(freq))))
     kept = [F.when(F.col("_bucket") == col(time), col(v)).otherwise(empty).alias(v) for v in values]
     return spread.select(*[col(g) for g in groups], F.col("_bucket").alias(time), *kept)
@@ -123,9 +123,8 @@ def grid_resample(
         F.struct(bucket(F.min(t), freq).alias("a"), bucket(F.max(t), freq).alias("b"))
     ).scalar()
     if not cell:
-        spine = rows.select(F.lit(1).alias("_one")).limit(1).select(
-            F.explode(F.sequence(span["a"], span["b"], step(freq))).alias(time)
-        )
+        ends = out.agg(F.min(time).alias("a"), F.max(time).alias("b"))
+        spine = ends.select(F.explode(F.sequence("a", "b", step(freq))).alias(time))
         return spine.join(out, time, "left").select(time, var)
     return _fill_between(out, time, freq, cell, [var], F.lit(None), span)
 
@@ -188,6 +187,7 @@ def trend(
     """
     if degree < 1:
         raise ValueError("degree must be at least 1")
+    columns = df.columns
     t, v = days(df, time), col(var).cast("double")
     points = df.select(*[col(k) for k in by or []], t.alias("_t"), v.alias("_v")).filter(not_null(["_t", "_v"]))
     if degree == 1:
@@ -196,33 +196,33 @@ def trend(
             F.avg("_t").alias("t0"),
             F.coalesce(F.regr_slope("_v", "_t"), F.lit(0.0)).alias("slope"),
         )
-
-        def evaluate(f: Column) -> Column:
-            return f["v0"] + f["slope"] * (t - f["t0"])
-
+        fitted = F.col("_fit.v0") + F.col("_fit.slope") * (t - F.col("_fit.t0"))
     else:
-        ends = points.agg(F.struct(F.min("_t").alias("lo"), F.max("_t").alias("hi"))).scalar()
-        middle, half = (ends["lo"] + ends["hi"]) / 2.0, F.greatest((ends["hi"] - ends["lo"]) / 2.0, F.lit(1e-9))
-        points = points.withColumn("_u", (F.col("_t") - middle) / half)
+        # time scaled to -1 .. 1 keeps the powers well conditioned
+        low, high = F.min("_t"), F.max("_t")
+        scale = points.agg(
+            F.struct(((low + high) / 2.0).alias("middle"), F.greatest((high - low) / 2.0, F.lit(1e-9)).alias("half"))
+        ).scalar()
+        points = points.withColumn("_scale", scale).withColumn(
+            "_u", (F.col("_t") - F.col("_scale.middle")) / F.col("_scale.half")
+        )
         powers = F.array(*[F.sum(F.pow("_u", F.lit(float(i)))) for i in range(2 * degree + 1)])
         moments = F.array(*[F.sum(F.pow("_u", F.lit(float(i))) * F.col("_v")) for i in range(degree + 1)])
         fit = _solve(powers, moments)
-        u = (t - middle) / half
-
-        def evaluate(f: Column) -> Column:
-            value = f[degree]
-            for i in range(degree - 1, -1, -1):
-                value = value * u + f[i]
-            return value
+        df = df.withColumn("_scale", scale)
+        u = (t - F.col("_scale.middle")) / F.col("_scale.half")
+        fitted = F.col("_fit")[degree]
+        for i in range(degree - 1, -1, -1):
+            fitted = fitted * u + F.col("_fit")[i]
 
     if by:
         require(df, by)
         fits = points.groupBy(*[col(k) for k in by]).agg(fit.alias("_fit"))
-        joined, fitted = df.join(fits, list(by), "left"), evaluate(F.col("_fit"))
+        joined = df.join(fits, list(by), "left")
     else:
-        joined, fitted = df, evaluate(points.agg(fit.alias("_fit")).scalar())
+        joined = df.withColumn("_fit", points.agg(fit).scalar())
     return joined.select(
-        *[col(c) for c in df.columns], fitted.alias(f"{var}_trend"), (v - fitted).alias(f"{var}_detrended")
+        *[col(c) for c in columns], fitted.alias(f"{var}_trend"), (v - fitted).alias(f"{var}_detrended")
     )
 
 

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graticule.functions.columns import nan_to_null, numeric_columns
+from graticule.functions.columns import col, nan_to_null, numeric_columns
 from graticule.model import column_roles
 
 # File extensions and the reader they select.
@@ -45,18 +46,31 @@ def read_table(
     if kind == "parquet":
         df = reader.parquet(*paths)
     elif kind == "json":
-        # .json may hold one array per file, .jsonl has one record per line
-        df = reader.option("multiLine", ext == "json").json(paths)
+        whole = ext == "json" and not _one_record_per_line(spark, paths)
+        df = _zoneless(reader.option("multiLine", whole).option("inferTimestamp", True).json(paths))
     else:
         reader = reader.option("header", True).option("sep", "\t" if ext == "tsv" else ",")
         reader = reader.option("preferDate", False).option("inferSchema", schema is None)
-        df = reader.csv(paths)
+        df = _zoneless(reader.csv(paths))
     if not numeric_columns(df):
         raise ValueError(f"No numeric column in {paths}")
     roles = column_roles(df)
     return nan_to_null(df, [c for c in df.columns if c not in roles])
 
 
+def _one_record_per_line(spark: SparkSession, paths: list[str]) -> bool:
+    """Whether .json files hold records line by line (splittable) or one array per file."""
+    lines = spark.read.text(paths).filter(F.trim("value") != "").limit(1).collect()
+    first = lines[0][0].strip() if lines else "{}"
+    return first.startswith("{") and first.endswith("}")
+
+
+def _zoneless(df: DataFrame) -> DataFrame:
+    """Times inferred from text carry no zone in the data model."""
+    times = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
+    return df.withColumns({name: col(name).cast("timestamp_ntz") for name in times}) if times else df
+
+
 def read_many(spark: SparkSession, paths: str | Sequence[str], fmt: str | None = None) -> DataFrame:
     """Several files, or a glob, as one dataset; columns are matched by name.
 
