@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graticule.functions.columns import col
+from graticule.session import cut_lineage
 
 # A side is sent to every executor only when it is known to hold at most this many rows.
 BROADCAST_ROWS = 200_000
@@ -25,6 +26,17 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if fits(df, max_rows) else df
 
 
+def settled_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """An aggregate about to be joined back to many rows, computed once and measured.
+
+    Small results are broadcast, so the many rows do not move at all. Larger ones
+    come from the checkpoint through a plain shuffle, which is the shape adaptive
+    execution needs to split a hot key.
+    """
+    settled = cut_lineage(df)
+    return F.broadcast(settled) if settled.count() <= max_rows else settled
+
+
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     """Rows in the biggest group; counted map-side first, one number returned."""
     if not keys:

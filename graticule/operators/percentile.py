@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from graticule.functions.columns import col
-from graticule.functions.sizing import BROADCAST_ROWS, GROUP_ROWS
+from graticule.functions.sizing import BROADCAST_ROWS, GROUP_ROWS, settled_side
 from graticule.session import cut_lineage
 
 REFINE_BINS = 4096
@@ -68,10 +68,9 @@ def grouped_percentiles(
         (F.struct(*[col(k).alias(k) for k in keys]) if keys else F.struct(F.lit(1).alias("_all"))).alias("_key"),
         *[col(v) for v in values],
     )
-    hot = cut_lineage(
+    hot = settled_side(
         keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_group_rows).select("_key")
     )
-    hot = F.broadcast(hot) if hot.count() <= BROADCAST_ROWS else hot
     cold = _in_memory(keyed.join(hot, "_key", "left_anti"), ["_key"], values, ps)
     rows = keyed.join(hot, "_key", "left_semi")
     large = rows.select("_key").distinct()

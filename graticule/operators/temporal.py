@@ -22,6 +22,7 @@ from graticule.functions.calendar import (
     step,
 )
 from graticule.functions.columns import col, not_null, numeric_columns, require
+from graticule.functions.sizing import settled_side
 from graticule.model import column_roles
 from graticule.operators.reduction import _booleans_as_numbers, grouped
 
@@ -182,8 +183,8 @@ def trend(
     """Polynomial fit over time: ``{var}_trend`` and the residual ``{var}_detrended``.
 
     The fit is a handful of sums per group, so rows combine map-side. Without
-    groups the result is read back as a subquery; with groups it is joined on the
-    group keys, where adaptive execution may split a hot group.
+    groups the result is read back as a subquery; with groups the fits are computed
+    once and joined back, broadcast when few.
     """
     if degree < 1:
         raise ValueError("degree must be at least 1")
@@ -217,7 +218,7 @@ def trend(
 
     if by:
         require(df, by)
-        fits = points.groupBy(*[col(k) for k in by]).agg(fit.alias("_fit"))
+        fits = settled_side(points.groupBy(*[col(k) for k in by]).agg(fit.alias("_fit")))
         joined = df.join(fits, list(by), "left")
     else:
         joined = df.withColumn("_fit", points.agg(fit).scalar())

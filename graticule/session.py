@@ -33,6 +33,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, **conf: str) ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName("graticule")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 
 from graticule.functions.columns import col
 from graticule.functions.sizing import BROADCAST_ROWS, fits
+from graticule.session import cut_lineage
+
+
+# Axis labels sent to every executor at most, over all distinct chunk ranges.
+SLICE_LABELS = 2_000_000
 
 
 def axis_of(axes: DataFrame, dim: str, kind: str = "coord_num") -> DataFrame:
@@ -83,5 +88,8 @@ def _with_slice(chunks: DataFrame, axis: DataFrame, i: int, name: str) -> DataFr
         .agg(F.sort_array(F.collect_list(F.struct("_idx", "label"))).alias("_s"))
         .select("_lo", "_size", F.transform("_s", lambda e: e["label"]).alias(name))
     )
-    keyed = chunks.withColumn("_lo", lo).withColumn("_size", size)
-    return keyed.join(labelled, ["_lo", "_size"]).drop("_lo", "_size")
+    labelled = cut_lineage(labelled)
+    total = labelled.agg(F.sum("_size")).first()[0] or 0
+    # labels, not rows, decide whether the slices may travel to every executor
+    side = F.broadcast(labelled) if total <= SLICE_LABELS else labelled
+    return chunks.withColumn("_lo", lo).withColumn("_size", size).join(side, ["_lo", "_size"]).drop("_lo", "_size")
