@@ -21,7 +21,7 @@ QUERIES = {
     # 10.0 lies exactly between 7.5 and 12.5, 95.0 outside the axis
     "f4_dim_slice_nearest": lambda s, d: g.dim_slice(grid(s, d), "lat", values=[10.0, 95.0, -41.0], nearest=True),
     "f5_bbox": lambda s, d: g.bbox(grid(s, d), lat_min=-30, lat_max=45.0, lon_min=100),
-    "f6_sel": lambda s, d: g.sel(g.Grid(grid(s, d), DIMS), lat=12.5, level=3.0),
+    "f6_sel": lambda s, d: g.sel(g.Grid(grid(s, d), DIMS), lat=-62.5, level=3.0),
     "f7_isel": lambda s, d: g.isel(g.Grid(grid(s, d), DIMS), time=-1, level=0),
     "f8_time_steps": lambda s, d: g.time_steps(grid(s, d)),
     "f9_frame_at": lambda s, d: g.frame_at(grid(s, d), "1997-05-05", "v", target=400).withColumn("v", r("v")),
@@ -86,7 +86,7 @@ ORACLE = {
         """
     ),
     "f5_bbox": with_grid("SELECT * FROM grid WHERE lat >= -30 AND lat <= 45 AND lon >= 100"),
-    "f6_sel": with_grid("SELECT time, lon, v, w FROM grid WHERE lat = 12.5 AND level = 3"),
+    "f6_sel": with_grid("SELECT time, lon, v, w FROM grid WHERE lat = -62.5 AND level = 3"),
     "f7_isel": with_grid(
         "SELECT lat, lon, v, w FROM grid WHERE time = (SELECT MAX(time) FROM grid)"
         " AND level = (SELECT MIN(level) FROM grid)"
