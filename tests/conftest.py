@@ -9,7 +9,7 @@ from graticule.session import local_session
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session("4", 4)
+    session = local_session("4", 4, spark__sql__maxMetadataStringLength="10000")
     if session.sparkContext.getCheckpointDir() is None:
         session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("scratch")))
     yield session

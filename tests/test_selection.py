@@ -14,7 +14,7 @@ def test_range_slice_is_inclusive(sample):
 
 
 def test_time_range_stops_at_midnight(spark):
-    df = frame(spark, pd.DataFrame({"time": pd.to_datetime(["2020-03-31", "2020-03-31 06:00"]), "v": [1.0, 2.0]}))
+    df = frame(spark, pd.DataFrame({"time": pd.to_datetime(["2020-03-31 00:00", "2020-03-31 06:00"]), "v": [1.0, 2.0]}))
     assert [r.v for r in g.dim_slice(df, "time", stop="2020-03-31").collect()] == [1.0]
 
 
