@@ -57,7 +57,7 @@ def headline(spark, sf):
         "j3_cross_variable": lambda: g.cross_variable(
             data.table("v").select("time", "lat", "lon", "v"), data.table("w").select("time", "lat", "lon", "w")
         ),
-        "j6_correlation_map": lambda: g.correlation_map(monthly(), "v", 10.0, -100.0, 400, axes=axes),
+        "j6_correlation_map": lambda: g.correlation_map(df, "v", 10.0, -100.0, 400, axes=axes),
         "g1_gradient": lambda: g.gradient(g.map_mean(df, "v", None), "v"),
         "g2_transect": lambda: g.transect(df, "v", (-60.0, -120.0), (62.0, 131.0), 50, axes=axes),
     }

@@ -190,22 +190,24 @@ def correlation_map(
 ) -> DataFrame:
     """Correlation of each (binned) cell's series with that of the cell nearest a point.
 
-    Both sides are aggregated before the join on time: one row per step against
-    one row per step and cell. No broadcast is forced; adaptive execution sees
-    the real size of the reference series and picks it when small. Fewer than 5
-    reference rows give no result.
+    The reference cell is looked up first (one row), so its series is read with a
+    plain filter that the file reader can use. Both sides are aggregated before
+    the join on time: one row per step against one row per step and cell. No
+    broadcast is forced; adaptive execution sees the real size of the reference
+    series and picks it when small. Fewer than 5 reference rows give no result.
     """
     bins = Binning(df, lat, lon, target, axes)
-    cell = nearest_cell(df, lat0, lon0, lat, lon).select(F.struct(col(lat).alias("y"), col(lon).alias("x"))).scalar()
-    at_reference = df.filter((col(lat) == cell["y"]) & (col(lon) == cell["x"]))
-    reference = at_reference.groupBy(col(time)).agg(F.avg(col(var)).alias("_ref"))
-    enough = at_reference.agg(F.count(F.lit(1)) >= MIN_REFERENCE_STEPS).scalar()
     cells = (
         df.select(col(time), bins.key(lat), bins.key(lon), col(var))
         .groupBy(time, lat, lon)
         .agg(F.avg(col(var)).alias(var))
-        .filter(enough & col(var).isNotNull())
+        .filter(col(var).isNotNull())
     )
+    cell = nearest_cell(df, lat0, lon0, lat, lon).first()
+    here = df.filter(equals(df, lat, cell[lat]) & equals(df, lon, cell[lon]) if cell else F.lit(False))
+    if here.limit(MIN_REFERENCE_STEPS).count() < MIN_REFERENCE_STEPS:
+        cells = cells.filter(F.lit(False))
+    reference = here.groupBy(col(time)).agg(F.avg(col(var)).alias("_ref"))
     return (
         cells.join(reference, time, "left")
         .groupBy(lat, lon)

@@ -58,20 +58,7 @@ def resample(
     if not fill_gaps:
         return out
     empty = F.lit(0) if method in _EMPTY_BUCKET_ZERO else F.lit(None)
-    if groups:
-        return _fill_between(out, time, freq, groups, values, empty)
-    ends = rows.agg(F.min(t).alias("a"), F.max(t).alias("b"))
-    spine = ends.select(
-        F.explode(F.sequence(bucket(F.col("a"), freq), bucket(F.col("b"), freq), step(freq))).alias(time)
-    )
-    return _zero_filled(spine.join(out, time, "left"), [time], values, method)
-
-
-def _zero_filled(df: DataFrame, keys: list[str], values: list[str], method: str) -> DataFrame:
-    def filled(v: str) -> Column:
-        return F.coalesce(col(v), F.lit(0)).alias(v) if method in _EMPTY_BUCKET_ZERO else col(v)
-
-    return df.select(*[col(k) for k in keys], *[filled(v) for v in values])
+    return _fill_between(out, time, freq, groups, values, empty)
 
 
 def _fill_between(
@@ -86,8 +73,9 @@ def _fill_between(
     """Add the empty buckets that follow each bucket of a group.
 
     Works on aggregated rows (one per group and bucket), so a window never holds
-    more than the buckets of one group, however many raw rows the group has.
-    With a ``span`` all groups share its first and last bucket.
+    more than the buckets of one group, however many raw rows the group has: a
+    century of hours is under 900,000 rows. The data are read once. With a
+    ``span`` all groups share its first and last bucket.
     """
     order = Window.partitionBy(*[col(g) for g in groups]).orderBy(time)
     following = F.lead(time).over(order)
