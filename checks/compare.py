@@ -24,6 +24,7 @@ QUERIES = {
     "j1_difference_limit": lambda s, d: rounded(
         g.difference_limit(g.diff_periods(grid(s, d), "v", P1, P2, target=400)), "max_abs_difference"
     ),
+    "j1_diff_halves": lambda s, d: rounded(g.diff_periods(grid(s, d), "v", target=400), "v_1", "v_2", "difference"),
     "j2_diff_levels": lambda s, d: rounded(
         g.diff_levels(grid(s, d), "v", 1.0, 7.0, target=400), "v_1", "v_2", "difference"
     ),
@@ -121,4 +122,6 @@ ORACLE = {
     "j6_correlation_map": _correlation("FLOOR(lat / blat) * blat", "FLOOR(lon / blon) * blon"),
     "j6_correlation_map_full": _correlation("lat", "lon"),
 }
+_MIDDLE = "(SELECT CAST(MIN(time) + (MAX(time) - MIN(time)) / 2 AS DATE) FROM grid)"
+ORACLE["j1_diff_halves"] = with_grid(_difference(f"time <= {_MIDDLE}", f"time >= {_MIDDLE}"), AXES)
 ORACLE["j4_overlay_two_frames"] = ORACLE["j4_overlay"]

@@ -53,6 +53,9 @@ PASS_THROUGH = {
     "cte": "WITH c AS (SELECT lat, COUNT(v) AS n FROM v GROUP BY lat) SELECT lat, n FROM c"
     " WHERE n >= (SELECT AVG(n) FROM c)",
     "extremes": "SELECT time, lat, lon, level, v FROM v WHERE v < 1000 ORDER BY v, time, lat, lon, level LIMIT 10",
+    "zones": "SELECT CASE WHEN lat >= 60 THEN 'Arctic' WHEN lat >= 20 THEN 'Middle' ELSE 'Low' END AS zone,"
+    " MIN(v) AS lo, MAX(v) AS hi, COUNT(*) AS obs FROM v GROUP BY zone",
+    "months": "SELECT CAST(EXTRACT(MONTH FROM time) AS BIGINT) AS month, MIN(v) AS lo, MAX(v) AS hi FROM v GROUP BY 1",
     "descriptive": "SELECT COUNT(*) AS total_obs, MIN(v) AS min_v, MAX(v) AS max_v FROM v",
 }
 
@@ -82,18 +85,53 @@ QUERIES = {
     "q8_chained_transforms": lambda s, d: rounded(
         g.chain(_grid(s, d).table("v"), _CHAIN), "v", "v_anomaly", d=3
     ),
+    # returns data values near the percentile: no exact counterpart
+    "sql_approx_percentile": _plain(
+        "SELECT lat, APPROX_PERCENTILE_CONT(v, 0.1) AS p10, APPROX_PERCENTILE_CONT(v, 0.5) AS median FROM v GROUP BY lat"
+    ),
+    "m6_table_metadata": lambda s, d: g.table_metadata(_described(s, d)),
     "s6_register": lambda s, d: _grid(s, d).register().spark.sql("SELECT COUNT(*) AS n, COUNT(w) AS m FROM w"),
 }
 QUERIES |= {f"sql_{name}": _plain(text) for name, text in PASS_THROUGH.items()}
 
 
+def _described(s, d):
+    df = grid(s, d).withMetadata("v", {"units": "K", "long_name": "Value"})
+    return df.withMetadata("lat", {"units": "degrees_north"})
+
+
 def _cached(s, d):
     data = _grid(s, d)
     data.cached(g.time_series(data.table("v"), "v"))
     return data.cached(g.time_series(data.table("v"), "v"))
 
 
+def _meta_row(i, name, dtype, role, units="NULL", description="NULL"):
+    if role is None:
+        about = "CAST(NULL AS VARCHAR) AS role, CAST(NULL AS BIGINT) AS size, CAST(NULL AS VARCHAR) AS min, CAST(NULL AS VARCHAR) AS max"
+    else:
+        about = f"'{role}' AS role, COUNT(DISTINCT {name}) AS size, CAST(MIN({name}) AS VARCHAR) AS min, CAST(MAX({name}) AS VARCHAR) AS max"
+    return (
+        f"SELECT CAST({i} AS INT) AS position, '{name}' AS \"column\", '{dtype}' AS data_type,"
+        f" {'TRUE' if role else 'FALSE'} AS is_coordinate, CAST({units} AS VARCHAR) AS units,"
+        f" CAST({description} AS VARCHAR) AS description, {about} FROM grid{'' if role else ' LIMIT 1'}"
+    )
+
+
+_META = " UNION ALL ".join(
+    f"({x})"
+    for x in (
+        _meta_row(0, "time", "timestamp_ntz", "time"),
+        _meta_row(1, "level", "double", "vertical"),
+        _meta_row(2, "lat", "double", "latitude", "'degrees_north'"),
+        _meta_row(3, "lon", "double", "longitude"),
+        _meta_row(4, "v", "double", None, "'K'", "'Value'"),
+        _meta_row(5, "w", "double", None),
+    )
+)
+
 ORACLE = {
+    "m6_table_metadata": with_grid(_META),
     "q1_sql": with_grid(
         f"SELECT lat, {rs('AVG(v)')} AS avg_v, COUNT(*) AS n FROM grid WHERE lat > 40 GROUP BY lat"
     ),

@@ -92,7 +92,7 @@ for _f, _m in [("D", "mean"), ("W", "sum"), ("h", "count"), ("D", "median")]:
 def _cell_resample(freq, method):
     def query(s, d):
         cells = g.Grid(grid(s, d).select("time", "lat", "lon", "v"), ["time", "lat", "lon"])
-        return rounded(cells.resample("v", freq, method), "v")
+        return rounded(cells.resample("v", freq, method), "v", d=1 if method == "var" else 4)
 
     return query
 
@@ -104,7 +104,7 @@ def _cell_resample_sql(freq, method):
                 FROM grid GROUP BY 1, 2, 3),
         spine AS (SELECT UNNEST(GENERATE_SERIES(MIN(time), MAX(time), INTERVAL {STEP[freq]})) AS time FROM b),
         cells AS (SELECT DISTINCT lat, lon FROM grid)
-        SELECT lat, lon, time, {rs('v')} AS v FROM cells CROSS JOIN spine LEFT JOIN b USING (lat, lon, time)
+        SELECT lat, lon, time, {rs('v', 1 if method == 'var' else 4)} AS v FROM cells CROSS JOIN spine LEFT JOIN b USING (lat, lon, time)
         """
     )
 

@@ -9,6 +9,7 @@ from graticule.operators.comparison import (
     diff_levels,
     diff_periods,
     difference_limit,
+    half_periods,
     overlay,
 )
 from graticule.operators.geometry import gradient, transect
@@ -20,6 +21,7 @@ from graticule.operators.profiling import (
     estimate_size,
     schema_enums,
     schema_profile,
+    table_metadata,
 )
 from graticule.operators.reduction import (
     calendar_stats,

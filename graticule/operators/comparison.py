@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from graticule.functions.aggregates import guarded_corr
 from graticule.functions.bins import AxisStats, Binning
+from graticule.functions.calendar import as_time
 from graticule.functions.columns import at_least, at_most, col, equals, is_numeric, type_of
 from graticule.operators.selection import nearest_cell
 
@@ -35,18 +36,33 @@ def _difference(
     )
 
 
+def half_periods(df: DataFrame, time: str = "time") -> tuple[tuple[str, str], tuple[str, str]]:
+    """Both halves of the time range as whole days; they share their middle day."""
+    t = as_time(df, time)
+    first, last = df.agg(F.min(t), F.max(t)).first()
+    if first is None:
+        return ("1970-01-01", "1970-01-01"), ("1970-01-01", "1970-01-01")
+    days = [str(x.date()) for x in (first, first + (last - first) / 2, last)]
+    return (days[0], days[1]), (days[1], days[2])
+
+
 def diff_periods(
     df: DataFrame,
     var: str,
-    p1: tuple[Any, Any],
-    p2: tuple[Any, Any],
+    p1: tuple[Any, Any] | None = None,
+    p2: tuple[Any, Any] | None = None,
     target: str | int | None = "auto",
     lat: str = "lat",
     lon: str = "lon",
     time: str = "time",
     axes: dict[str, AxisStats] | None = None,
 ) -> DataFrame:
-    """Mean map of the second period minus the first; both ends of a period belong to it."""
+    """Mean map of the second period minus the first; both ends of a period belong to it.
+
+    Without periods the two halves of the time range are compared.
+    """
+    if p1 is None or p2 is None:
+        p1, p2 = half_periods(df, time)
 
     def inside(period: tuple[Any, Any]) -> Column:
         return at_least(df, time, period[0]) & at_most(df, time, period[1])
@@ -57,15 +73,17 @@ def diff_periods(
 def diff_levels(
     df: DataFrame,
     var: str,
-    l1: float,
-    l2: float,
+    l1: float | None = None,
+    l2: float | None = None,
     target: str | int | None = "auto",
     lat: str = "lat",
     lon: str = "lon",
     level: str = "level",
     axes: dict[str, AxisStats] | None = None,
 ) -> DataFrame:
-    """Mean map of the second level minus the first."""
+    """Mean map of the second level minus the first (default: highest minus lowest)."""
+    if l1 is None or l2 is None:
+        l1, l2 = df.agg(F.min(col(level)), F.max(col(level))).first()
     bins = Binning(df, lat, lon, target, axes)
     return _difference(df, var, equals(df, level, l1), equals(df, level, l2), bins, lat, lon)
 

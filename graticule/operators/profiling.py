@@ -123,6 +123,31 @@ def _one_dimension(df: DataFrame, dim: str, role: str, approx: bool) -> DataFram
     )
 
 
+def table_metadata(df: DataFrame, dims: Sequence[str] | None = None) -> DataFrame:
+    """One row per column: type, role, units, description, and the range and size of dimensions."""
+    roles = column_roles(df)
+    dims = [c for c in df.columns if c in roles] if dims is None else list(dims)
+    attrs = {f.name: f.metadata or {} for f in df.schema.fields}
+    columns = df.sparkSession.createDataFrame(
+        [
+            (i, f.name, f.dataType.simpleString(), f.name in dims, attrs[f.name].get("units"),
+             attrs[f.name].get("long_name"))
+            for i, f in enumerate(df.schema.fields)
+        ],
+        "position int, column string, data_type string, is_coordinate boolean, units string, description string",
+    )
+    if not dims:
+        return columns
+    ranges = dimension_profile(df, dims).select(
+        F.col("dim").alias("column"),
+        "role",
+        "size",
+        F.coalesce(F.col("min").cast("string"), F.col("min_time").cast("string")).alias("min"),
+        F.coalesce(F.col("max").cast("string"), F.col("max_time").cast("string")).alias("max"),
+    )
+    return columns.join(ranges, "column", "left")
+
+
 def column_report(df: DataFrame) -> DataFrame:
     """Total, non-null and distinct values per column.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -25,9 +26,19 @@ from graticule.functions.sizing import fits
 from graticule.model import column_roles, detect_roles, numeric_variables
 from graticule.operators import profiling, reduction, selection, temporal
 from graticule.plans.compose import ResultCache
+from graticule.session import configure
 
 ENUM_LIMIT = 1_000
 
+# Function names users bring along and their Spark names.
+SQL_NAMES = {"approx_percentile_cont": "approx_percentile"}
+_QUOTED_OR_NAME = re.compile(r"'(?:[^']|'')*'|\b(" + "|".join(SQL_NAMES) + r")(?=\s*\()", re.IGNORECASE)
+
+
+def spark_names(query: str) -> str:
+    """Function names as Spark knows them; quoted text stays as it is."""
+    return _QUOTED_OR_NAME.sub(lambda m: SQL_NAMES[m[1].lower()] if m[1] else m[0], query)
+
 
 class Grid:
     """One wide DataFrame holding the dimensions and every variable.
@@ -45,6 +56,7 @@ class Grid:
         attrs: Mapping[str, Any] | None = None,
         axes: Mapping[str, DataFrame] | None = None,
     ) -> None:
+        configure(df.sparkSession)
         found = list(column_roles(df)) if dims is None else list(dims)
         require(df, found, "Dimensions")
         available = [c for c in df.columns if c not in found]
@@ -101,6 +113,7 @@ class Grid:
     def sql(self, query: str, args: Mapping[str, Any] | Sequence[Any] | None = None) -> DataFrame:
         """Run SQL over the views; parameters (? or :name) are typed, not pasted."""
         self.register()
+        query = spark_names(query)
         return self.spark.sql(query, args=args) if args else self.spark.sql(query)
 
     def define(self, name: str, query: str, args: Mapping[str, Any] | Sequence[Any] | None = None) -> DataFrame:

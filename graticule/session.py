@@ -52,7 +52,7 @@ def scratch_dir(spark: SparkSession) -> str:
     machine-local folder would be lost with its executor.
     """
     sc = spark.sparkContext
-    folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if folder is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
