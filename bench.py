@@ -54,9 +54,7 @@ def headline(spark, sf):
         "j1_diff_periods": lambda: g.diff_periods(
             df, "v", ("1995-01-01", "1998-06-30"), ("1998-07-01", "2002-01-01"), 400, axes=axes
         ),
-        "j3_cross_variable": lambda: g.cross_variable(
-            data.table("v").select("time", "lat", "lon", "v"), data.table("w").select("time", "lat", "lon", "w")
-        ),
+        "j3_cross_variable": lambda: g.cross_variable(df, var_a="v", var_b="w", dims=["time", "lat", "lon"]),
         "j6_correlation_map": lambda: g.correlation_map(df, "v", 10.0, -100.0, 400, axes=axes),
         "g1_gradient": lambda: g.gradient(g.map_mean(df, "v", None), "v"),
         "g2_transect": lambda: g.transect(df, "v", (-60.0, -120.0), (62.0, 131.0), 50, axes=axes),

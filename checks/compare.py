@@ -29,6 +29,9 @@ QUERIES = {
         g.diff_levels(grid(s, d), "v", 1.0, 7.0, target=400), "v_1", "v_2", "difference"
     ),
     "j3_cross_variable": lambda s, d: rounded(g.cross_variable(_v(s, d), _w(s, d)), "correlation", d=8),
+    "j3_cross_variable_one_frame": lambda s, d: rounded(
+        g.cross_variable(grid(s, d).drop("level"), var_a="v", var_b="w"), "correlation", d=8
+    ),
     "j4_overlay": lambda s, d: rounded(g.overlay(grid(s, d), "v", "w", target=400), "fill", "contour"),
     "j4_overlay_two_frames": lambda s, d: rounded(
         g.overlay(_v(s, d), "v", "w", _w(s, d), target=400), "fill", "contour"
@@ -124,4 +127,5 @@ ORACLE = {
 }
 _MIDDLE = "(SELECT CAST(MIN(time) + (MAX(time) - MIN(time)) / 2 AS DATE) FROM grid)"
 ORACLE["j1_diff_halves"] = with_grid(_difference(f"time <= {_MIDDLE}", f"time >= {_MIDDLE}"), AXES)
+ORACLE["j3_cross_variable_one_frame"] = ORACLE["j3_cross_variable"]
 ORACLE["j4_overlay_two_frames"] = ORACLE["j4_overlay"]

@@ -44,7 +44,7 @@ PASS_THROUGH = {
     "rollup": "SELECT lat, level, COUNT(*) AS n, MAX(v) AS m FROM v GROUP BY ROLLUP (lat, level)",
     "cube": "SELECT lon, level, COUNT(v) AS n FROM v GROUP BY CUBE (lon, level)",
     "grouping_sets": "SELECT lat, lon, COUNT(v) AS n FROM v GROUP BY GROUPING SETS ((lat), (lon), ())",
-    "window_rank": "SELECT lat, lon, n, RANK() OVER (PARTITION BY lat ORDER BY n DESC) AS place FROM"
+    "window_rank": "SELECT lat, lon, n, CAST(RANK() OVER (PARTITION BY lat ORDER BY n DESC) AS BIGINT) AS place FROM"
     " (SELECT lat, lon, COUNT(v) AS n FROM v GROUP BY lat, lon)",
     "window_lag": "SELECT time, n, LAG(n) OVER (PARTITION BY EXTRACT(YEAR FROM time) ORDER BY time) AS before"
     " FROM (SELECT time, COUNT(v) AS n FROM v GROUP BY time)",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from graticule.functions.aggregates import guarded_corr
 from graticule.functions.bins import AxisStats, Binning
 from graticule.functions.calendar import as_time
-from graticule.functions.columns import at_least, at_most, col, equals, is_numeric, type_of
+from graticule.functions.columns import at_least, at_most, col, equals, is_numeric, not_null, type_of
+from graticule.model import column_roles
 from graticule.operators.selection import nearest_cell
 
 MIN_REFERENCE_STEPS = 5
@@ -93,31 +95,53 @@ def difference_limit(diff: DataFrame) -> DataFrame:
     return diff.agg(F.max(F.abs("difference")).alias("max_abs_difference"))
 
 
-def _pair_sums(df: DataFrame, keys: list[str], var: str, centre: Column, side: str) -> DataFrame:
+def _pair_sums(var: str, centre: Column, side: str) -> list[Column]:
     v = col(var).cast("double") - centre
-    return df.groupBy(*[col(k) for k in keys]).agg(
+    return [
         F.count(F.lit(1)).alias(f"rows_{side}"),
         F.count(v).alias(f"n_{side}"),
         F.coalesce(F.sum(v), F.lit(0.0)).alias(f"s_{side}"),
         F.coalesce(F.sum(v * v), F.lit(0.0)).alias(f"q_{side}"),
-    )
+    ]
 
 
-def cross_variable(a: DataFrame, b: DataFrame, var_a: str | None = None, var_b: str | None = None) -> DataFrame:
+def cross_variable(
+    a: DataFrame,
+    b: DataFrame | None = None,
+    var_a: str | None = None,
+    var_b: str | None = None,
+    dims: Sequence[str] | None = None,
+) -> DataFrame:
     """Pearson r and point count of two variables joined on all shared coordinates.
 
     Every pair of rows with equal coordinates counts, but none is built: each
     side shrinks to a few sums per coordinate tuple before the join, so repeated
-    coordinates (or one that holds much of the data) cost nothing extra.
+    coordinates (or one that holds much of the data) cost nothing extra. Two
+    variables of one frame (``b`` left out) need one scan and no join.
     """
-    var_a, var_b = var_a or a.columns[-1], var_b or b.columns[-1]
-    shared = [c for c in a.columns if c in b.columns and c not in (var_a, var_b)]
+    if b is None and (var_a is None or var_b is None):
+        raise ValueError("name both variables of a single frame")
+    other = a if b is None else b
+    var_a, var_b = var_a or a.columns[-1], var_b or other.columns[-1]
+    if dims is None and b is None:
+        dims = [c for c in a.columns if c in column_roles(a)]
+    shared = [c for c in dims or a.columns if c in other.columns and c not in (var_a, var_b)]
     if not shared:
         raise ValueError("No shared coordinates between variables")
+    keys = [col(k) for k in shared]
     # sums are taken around the means, which keeps them well conditioned
-    mean_a = a.agg(F.avg(col(var_a).cast("double"))).scalar()
-    mean_b = b.agg(F.avg(col(var_b).cast("double"))).scalar()
-    pairs = _pair_sums(a, shared, var_a, mean_a, "a").join(_pair_sums(b, shared, var_b, mean_b, "b"), shared)
+    sums_a = _pair_sums(var_a, F.col("_mean_a"), "a")
+    sums_b = _pair_sums(var_b, F.col("_mean_b"), "b")
+    mean_a, mean_b = F.avg(col(var_a).cast("double")), F.avg(col(var_b).cast("double"))
+    if b is None:
+        means = a.agg(F.struct(mean_a.alias("a"), mean_b.alias("b"))).scalar()
+        centred = a.filter(not_null(shared)).withColumn("_m", means)
+        centred = centred.withColumns({"_mean_a": F.col("_m.a"), "_mean_b": F.col("_m.b")})
+        pairs = centred.groupBy(*keys).agg(*sums_a, *sums_b)
+    else:
+        left = a.withColumn("_mean_a", a.agg(mean_a).scalar()).groupBy(*keys).agg(*sums_a)
+        right = b.withColumn("_mean_b", b.agg(mean_b).scalar()).groupBy(*keys).agg(*sums_b)
+        pairs = left.join(right, shared)
     totals = pairs.agg(
         F.coalesce(F.sum(F.col("rows_a") * F.col("rows_b")), F.lit(0)).alias("points"),
         F.sum(F.col("n_a") * F.col("n_b")).cast("double").alias("n"),

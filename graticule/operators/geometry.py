@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from graticule.functions.bins import AxisStats
@@ -94,8 +94,11 @@ def transect(
             col(lat).cast("double").alias("_y"), col(lon).cast("double").alias("_x"), col(var).alias("_v")
         )
     )
-    points = _bracket(points, cells, "_lat", "_y")
-    points = _bracket(points, cells, "_lon", "_x")
+    ends = cells.agg(
+        *[f(F.col(a)).alias(f"{n}{a}") for a in ("_y", "_x") for n, f in (("n", F.count_distinct), ("lo", F.min), ("hi", F.max))]
+    ).first()
+    points = _bracket(points, cells, "_lat", "_y", ends)
+    points = _bracket(points, cells, "_lon", "_x", ends)
     wy = F.try_divide(F.col("_lat") - F.col("_y_lo"), F.col("_y_hi") - F.col("_y_lo"))
     wx = F.try_divide(F.col("_lon") - F.col("_x_lo"), F.col("_x_hi") - F.col("_x_lo"))
     corners = F.array(
@@ -116,7 +119,7 @@ def transect(
     return out.drop("line") if single else out
 
 
-def _bracket(points: DataFrame, cells: DataFrame, p: str, axis: str) -> DataFrame:
+def _bracket(points: DataFrame, cells: DataFrame, p: str, axis: str, ends: Row) -> DataFrame:
     """Add the two neighbouring axis values of each point (NULL outside the axis).
 
     An equi-join on equal-width slots instead of a range join: each interval is
@@ -125,7 +128,7 @@ def _bracket(points: DataFrame, cells: DataFrame, p: str, axis: str) -> DataFram
     """
     whole = cells.agg(F.sort_array(F.collect_set(F.col(axis))).alias("_a"))
     usable = whole.filter(F.size("_a") > 1)
-    size, low, high = cells.agg(F.count_distinct(F.col(axis)), F.min(axis), F.max(axis)).first()
+    size, low, high = ends[f"n{axis}"], ends[f"lo{axis}"], ends[f"hi{axis}"]
     width = (high - low) / (size - 1) if size > 1 else 1.0
 
     def slot(c: Column) -> Column:

@@ -47,11 +47,13 @@ def read_table(
         df = reader.parquet(*paths)
     elif kind == "json":
         whole = ext == "json" and not _one_record_per_line(spark, paths)
-        df = _zoneless(reader.option("multiLine", whole).option("inferTimestamp", True).json(paths))
+        df = reader.option("multiLine", whole).option("inferTimestamp", True).json(paths)
     else:
         reader = reader.option("header", True).option("sep", "\t" if ext == "tsv" else ",")
         reader = reader.option("preferDate", False).option("inferSchema", schema is None)
-        df = _zoneless(reader.csv(paths))
+        df = reader.csv(paths)
+    if kind != "parquet" and schema is None:
+        df = _inferred(df)
     if not numeric_columns(df):
         raise ValueError(f"No numeric column in {paths}")
     roles = column_roles(df)
@@ -65,10 +67,11 @@ def _one_record_per_line(spark: SparkSession, paths: list[str]) -> bool:
     return first.startswith("{") and first.endswith("}")
 
 
-def _zoneless(df: DataFrame) -> DataFrame:
-    """Times inferred from text carry no zone in the data model."""
-    times = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
-    return df.withColumns({name: col(name).cast("timestamp_ntz") for name in times}) if times else df
+def _inferred(df: DataFrame) -> DataFrame:
+    """Types inferred from text, in the data model's terms: no zone, no narrow integers."""
+    wider = {T.TimestampType: "timestamp_ntz", T.IntegerType: "bigint"}
+    changed = {f.name: col(f.name).cast(wider[type(f.dataType)]) for f in df.schema.fields if type(f.dataType) in wider}
+    return df.withColumns(changed) if changed else df
 
 
 def read_many(spark: SparkSession, paths: str | Sequence[str], fmt: str | None = None) -> DataFrame:
