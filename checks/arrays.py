@@ -63,7 +63,7 @@ def _flat(s, d, **more):
 
 
 def _grid(s, d):
-    return g.Grid(_flat(s, d), ["vec_id", "row", "col"], axes=_axes(s, d))
+    return g.Grid.from_chunks(_chunks(s, d), _axes(s, d), ["vec_id", "row", "col"])
 
 
 QUERIES = {

@@ -97,6 +97,7 @@ QUERIES |= {
     "m1_schema_profile": lambda s, d: g.schema_profile(grid(s, d)),
     "m1_schema_enums": lambda s, d: g.schema_enums(table(s, d, "lineitem")),
     "m2_dimension_profile": lambda s, d: g.dimension_profile(grid(s, d), DIMS),
+    "m2_axes_table": lambda s, d: g.axes_table(grid(s, d), DIMS),
     "m3_column_report": lambda s, d: g.column_report(table(s, d, "lineitem")).drop("dtype"),
     "m4_estimate_size": lambda s, d: g.estimate_size(grid(s, d)),
 }
@@ -161,7 +162,17 @@ _LINEITEM = (
     " l_returnflag l_linestatus l_shipdate"
 ).split()
 
+def _axis(d: str) -> str:
+    number = "CAST(NULL AS DOUBLE)" if d == "time" else d
+    moment = d if d == "time" else "CAST(NULL AS TIMESTAMP)"
+    return (
+        f"SELECT '{d}' AS dim, CAST(ROW_NUMBER() OVER (ORDER BY {d}) - 1 AS INT) AS idx, {number} AS coord_num,"
+        f" {moment} AS coord_ts, CAST(NULL AS VARCHAR) AS coord_str FROM (SELECT DISTINCT {d} FROM grid)"
+    )
+
+
 ORACLE |= {
+    "m2_axes_table": with_grid(" UNION ALL ".join(_axis(d) for d in DIMS)),
     "a1_reduce_dims_auto": with_grid(
         f"SELECT time, level, {rs('AVG(v)')} AS v, {rs('AVG(w)')} AS w FROM grid GROUP BY time, level"
     ),

@@ -23,6 +23,7 @@ QUERIES = {
     "f5_bbox": lambda s, d: g.bbox(grid(s, d), lat_min=-30, lat_max=45.0, lon_min=100),
     "f6_sel": lambda s, d: g.sel(g.Grid(grid(s, d), DIMS), lat=-62.5, level=3.0),
     "f7_isel": lambda s, d: g.isel(g.Grid(grid(s, d), DIMS), time=-1, level=0),
+    "f7_isel_axes_table": lambda s, d: g.isel(_with_axes(s, d), time=slice(0, 100, 7), lat=-2),
     "f8_time_steps": lambda s, d: g.time_steps(grid(s, d)),
     "f9_frame_at": lambda s, d: g.frame_at(grid(s, d), "1997-05-05", "v", target=400).withColumn("v", r("v")),
     "f10_nearest_cell": lambda s, d: g.nearest_cell(grid(s, d), 10.0, -100.0),
@@ -47,6 +48,10 @@ def _celsius(df):
 
 
 
+def _with_axes(s, d):
+    return g.Grid(grid(s, d), DIMS, axes=g.axes_table(grid(s, d), DIMS))
+
+
 AXES = """
 axes AS (
   SELECT COUNT(DISTINCT lat) AS nlat, MIN(lat) AS lat0, MAX(lat) AS lat1,
@@ -91,6 +96,13 @@ ORACLE = {
         "SELECT lat, lon, v, w FROM grid WHERE time = (SELECT MAX(time) FROM grid)"
         " AND level = (SELECT MIN(level) FROM grid)"
     ),
+    "f7_isel_axes_table": with_grid(
+        """
+        , t AS (SELECT time, ROW_NUMBER() OVER (ORDER BY time) - 1 AS i FROM (SELECT DISTINCT time FROM grid))
+        SELECT time, level, lon, v, w FROM grid WHERE time IN (SELECT time FROM t WHERE i < 100 AND i % 7 = 0)
+          AND lat = (SELECT lat FROM (SELECT DISTINCT lat FROM grid) ORDER BY lat DESC OFFSET 1 LIMIT 1)
+        """
+    ),
     "f8_time_steps": with_grid("SELECT DISTINCT time FROM grid ORDER BY time LIMIT 200"),
     "f9_frame_at": with_grid(
         f"SELECT lat, lon, {rs('AVG(v)')} AS v FROM binned WHERE time = TIMESTAMP '1997-05-05' GROUP BY lat, lon",

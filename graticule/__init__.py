@@ -16,6 +16,7 @@ from graticule.operators.geometry import gradient, transect
 from graticule.operators.maps import cross_section, hovmoller, map_mean, to_matrix
 from graticule.operators.percentile import percentiles
 from graticule.operators.profiling import (
+    axes_table,
     column_report,
     dimension_profile,
     estimate_size,

@@ -31,7 +31,7 @@ def percentiles(
     by: Sequence[str] | None = None,
     approx: bool = False,
     accuracy: int = 10_000,
-    max_group_rows: int = GROUP_ROWS,
+    max_group_rows: int | None = GROUP_ROWS,
 ) -> DataFrame:
     """Percentiles of a variable, over everything or per group, one column each.
 
@@ -55,10 +55,15 @@ def grouped_percentiles(
     keys: Sequence[str],
     values: Sequence[str],
     ps: Sequence[float],
-    max_group_rows: int = GROUP_ROWS,
+    max_group_rows: int | None = GROUP_ROWS,
 ) -> DataFrame:
-    """keys + one array of percentiles per value column."""
+    """keys + one array of percentiles per value column.
+
+    ``max_group_rows=None`` skips measuring groups known to be small.
+    """
     keys, values, ps = list(keys), list(values), [float(p) for p in ps]
+    if max_group_rows is None:
+        return _in_memory(df, keys, values, ps)
     group = [col(k) for k in keys]
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     if (sizes.agg(F.max("_n")).first()[0] or 0) <= max_group_rows:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,6 +87,29 @@ def schema_enums(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return listed.distinct().orderBy("column", "value")
 
 
+def axes_table(df: DataFrame, dims: Sequence[str] | None = None) -> DataFrame:
+    """Long table (dim, idx, coord_num, coord_ts, coord_str) of the sorted labels of each dimension.
+
+    Labels are deduplicated map-side first; the window that numbers them holds
+    one axis, not the data.
+    """
+    roles = column_roles(df)
+    dims = [c for c in df.columns if c in roles] if dims is None else list(dims)
+    kinds = {"numeric": ("coord_num", "double"), "datetime": ("coord_ts", "timestamp_ntz"), "categorical": ("coord_str", "string")}
+
+    def one(dim: str) -> DataFrame:
+        labels = df.select(col(dim).alias("label")).filter(F.col("label").isNotNull()).distinct()
+        position = F.row_number().over(Window.partitionBy("dim").orderBy("label")) - 1
+        name, _ = kinds[coordinate_kind(type_of(df, dim))]
+        return labels.select(F.lit(dim).alias("dim"), "label").select(
+            "dim",
+            position.alias("idx"),
+            *[(F.col("label") if n == name else F.lit(None)).cast(t).alias(n) for n, t in kinds.values()],
+        )
+
+    return reduce(DataFrame.unionByName, [one(d) for d in dims])
+
+
 def dimension_profile(df: DataFrame, dims: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """Per dimension: size, dtype, min, max, step, kind and role.
 

@@ -41,7 +41,7 @@ def grouped(
     values: Sequence[str],
     method: str,
     ddof: int = 1,
-    max_group_rows: int = GROUP_ROWS,
+    max_group_rows: int | None = GROUP_ROWS,
 ) -> DataFrame:
     """One named reduction of several columns per group.
 

@@ -25,13 +25,15 @@ def rolling(
     order_by: str | Sequence[str] = "time",
     partition_by: Sequence[str] | None = None,
     output_column: str | None = None,
-    max_group_rows: int = GROUP_ROWS,
+    max_group_rows: int | None = GROUP_ROWS,
 ) -> DataFrame:
     """Statistic over the last (or centred) ``window`` rows in the given order.
 
     A plain window is used when the largest series is known to fit one task.
     Longer series, grouped or not, are cut into equal blocks whose edge rows are
     copied to the neighbour block, so no task ever sees a whole long series.
+    ``max_group_rows=None`` skips the measurement for series known to be short,
+    such as one row per step of a calendar.
     """
     if column not in df.columns:
         return df
@@ -51,7 +53,7 @@ def rolling(
         filled = F.count(c).over(frame)
         return F.when(filled >= min_periods, F.coalesce(value, F.lit(0)) if method == "sum" else value)
 
-    if largest_group(df, groups) <= max_group_rows:
+    if max_group_rows is None or largest_group(df, groups) <= max_group_rows:
         frame = (
             Window.partitionBy(*[col(g) for g in groups])
             .orderBy(*[col(o) for o in order])

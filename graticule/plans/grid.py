@@ -27,6 +27,7 @@ from graticule.model import column_roles, detect_roles, numeric_variables
 from graticule.operators import profiling, reduction, selection, temporal
 from graticule.plans.compose import ResultCache
 from graticule.session import configure
+from graticule.sources.chunks import axis_of, flatten_chunks
 
 ENUM_LIMIT = 1_000
 
@@ -43,9 +44,10 @@ def spark_names(query: str) -> str:
 class Grid:
     """One wide DataFrame holding the dimensions and every variable.
 
-    A variable's table is a projection (free in a columnar file). ``axes`` may map
-    a dimension to its ordered labels as (idx, label) rows; without it, positions
-    follow the sorted distinct labels of the column.
+    A variable's table is a projection (free in a columnar file). ``axes`` holds
+    the ordered labels of dimensions, either as a long axes table (dim, idx,
+    coord_num, coord_ts, coord_str) or as (idx, label) rows per dimension; without
+    it, positions follow the sorted distinct labels of the column.
     """
 
     def __init__(
@@ -54,7 +56,7 @@ class Grid:
         dims: Sequence[str] | None = None,
         variables: Sequence[str] | None = None,
         attrs: Mapping[str, Any] | None = None,
-        axes: Mapping[str, DataFrame] | None = None,
+        axes: Mapping[str, DataFrame] | DataFrame | None = None,
     ) -> None:
         configure(df.sparkSession)
         found = list(column_roles(df)) if dims is None else list(dims)
@@ -70,11 +72,25 @@ class Grid:
         self.dims, self.variables = found, names
         self.df = nan_to_null(df.select(*[col(c) for c in found + names]), names)
         self.attrs = dict(attrs or {})
+        if isinstance(axes, DataFrame):
+            axes = {d: axis_of(axes, d, _label_column(df, d)) for d in found}
         self.axes = dict(axes or {})
         self._derived: set[str] = set()
         self._stats: dict[str, AxisStats] = {}
         self._cache = ResultCache()
 
+    @classmethod
+    def from_chunks(
+        cls,
+        chunks: DataFrame,
+        axes: Mapping[str, DataFrame],
+        dims: Sequence[str],
+        var: str = "value",
+        attrs: Mapping[str, Any] | None = None,
+    ) -> "Grid":
+        """A one-variable dataset from array chunks and their axes."""
+        return cls(flatten_chunks(chunks, axes, dims, var), dims, [var], attrs, axes)
+
     @property
     def spark(self):
         return self.df.sparkSession
@@ -205,11 +221,15 @@ class Grid:
         listed = [r[0] for r in values.limit(ENUM_LIMIT + 1).collect()]
         return {"values": listed[:ENUM_LIMIT], "truncated": len(listed) > ENUM_LIMIT}
 
-    def schema(self, table: str) -> dict[str, Any]:
-        """Type, range or values per column and the row count under ``__len__``."""
+    def schema(self, table: str, limit: int | None = None, shuffle: bool = False) -> dict[str, Any]:
+        """Type, range or values per column and the row count under ``__len__``.
+
+        With a limit, ranges come from that many rows; the count is always the whole.
+        """
         df = self.table(table)
+        total = df.count() if limit is not None else None
         out: dict[str, Any] = {}
-        for row in profiling.schema_profile(df).collect():
+        for row in profiling.schema_profile(df, limit, shuffle).collect():
             entry: dict[str, Any] = {"type": row["type"]}
             dtype = type_of(df, row["column"])
             if is_numeric(dtype):
@@ -223,7 +243,7 @@ class Grid:
                 listed = [r[0] for r in values.limit(ENUM_LIMIT + 1).collect()]
                 entry |= {"enum": listed[:ENUM_LIMIT], "enum_truncated": len(listed) > ENUM_LIMIT}
             out[row["column"]] = entry
-            out["__len__"] = row["rows"]
+            out["__len__"] = row["rows"] if total is None else total
         return out
 
     def metadata(self, var: str) -> dict[str, Any]:
@@ -256,6 +276,11 @@ class Grid:
         return profiling.estimate_size(self.variable(var)).first().asDict()
 
 
+def _label_column(df: DataFrame, dim: str) -> str:
+    dtype = type_of(df, dim)
+    return "coord_ts" if is_time(dtype) else "coord_num" if is_numeric(dtype) else "coord_str"
+
+
 def _described(attrs: Mapping[str, Any]) -> dict[str, Any]:
     out = {}
     if "units" in attrs:

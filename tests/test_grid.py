@@ -193,3 +193,16 @@ def test_chained_transforms(sample):
         ],
     )
     assert out.count() == 4 and out.columns == ["time", "air", "air_anomaly", "air_rolling_mean"]
+
+
+def test_axes_table_and_chunks(spark, synthetic, data):
+    axes = g.axes_table(synthetic, ["time", "lat", "lon"])
+    grid = g.Grid(synthetic, axes=axes)
+    assert grid.label_at("lon", -1) == 130.0 and grid.label_at("time", 1) == dt.datetime(2020, 1, 2)
+    chunk = spark.createDataFrame([([0, 0], [2, 2], [1.0, 2.0, 3.0, float("nan")])], "origin array<int>, shape array<int>, values array<double>")
+    small = g.Grid.from_chunks(chunk, {"lat": grid.axes["lat"], "lon": grid.axes["lon"]}, ["lat", "lon"], "v")
+    assert {r[:] for r in small.table("v").collect()} == {(10.0, 100.0, 1.0), (10.0, 110.0, 2.0), (20.0, 100.0, 3.0), (20.0, 110.0, None)}
+
+
+def test_schema_of_a_sample_keeps_the_whole_count(data):
+    assert data.schema("pressure", limit=5)["__len__"] == 200
