@@ -79,16 +79,21 @@ def dim_slice(
 def _nearest_values(df: DataFrame, dim: str, values: list[Any]) -> DataFrame:
     """All rows at the coordinate nearest to each value; ties go to the smaller.
 
-    One aggregate finds the coordinates; the filter reads them as a subquery.
+    One aggregate over the coordinate column finds the neighbours of every value;
+    the labels come back as literals, so the file reader can skip other rows.
     """
     if not values:
         return df.filter(F.lit(False))
     c = col(dim)
-    closest = [
-        F.min(F.struct(F.abs(c - F.lit(float(v))).alias("d"), c.alias("c")))["c"] for v in values
-    ]
-    chosen = df.filter(c.isNotNull()).agg(F.array(*closest)).scalar()
-    return df.filter(F.array_contains(chosen, c))
+    below = [F.max(F.when(c <= F.lit(float(v)), c)).alias(f"lo{i}") for i, v in enumerate(values)]
+    above = [F.min(F.when(c >= F.lit(float(v)), c)).alias(f"hi{i}") for i, v in enumerate(values)]
+    ends = df.agg(*below, *above).first()
+    chosen = []
+    for i, v in enumerate(values):
+        neighbours = [x for x in (ends[f"lo{i}"], ends[f"hi{i}"]) if x is not None]
+        if neighbours:
+            chosen.append(min(neighbours, key=lambda x: (abs(float(x) - float(v)), x)))
+    return df.filter(one_of(df, dim, chosen))
 
 
 def bbox(

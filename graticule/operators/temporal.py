@@ -108,9 +108,8 @@ def grid_resample(
     rows = df.filter(not_null([time, *cell]))
     bucketed = rows.select(*[col(c) for c in cell], bucket(t, freq).alias(time), col(var))
     out = grouped(bucketed, [*cell, time], [var], method, ddof=0)
-    span = rows.agg(
-        F.struct(bucket(F.min(t), freq).alias("a"), bucket(F.max(t), freq).alias("b"))
-    ).scalar()
+    # the time axis is that of the whole dataset; this reads one column
+    span = df.agg(F.struct(bucket(F.min(t), freq).alias("a"), bucket(F.max(t), freq).alias("b"))).scalar()
     if not cell:
         ends = out.agg(F.min(time).alias("a"), F.max(time).alias("b"))
         spine = ends.select(F.explode(F.sequence("a", "b", step(freq))).alias(time))
