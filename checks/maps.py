@@ -52,6 +52,10 @@ QUERIES = {
     "g2_transect": lambda s, d: rounded(
         g.transect(grid(s, d), "v", START, END, 50), "distance_deg", "v"
     ),
+    # the axes count as too long to travel here: the joining path
+    "g2_transect_long_axes": lambda s, d: rounded(
+        g.transect(grid(s, d), "v", START, END, 50, max_axis=10), "distance_deg", "v"
+    ),
     "g3_transect_lines": lambda s, d: rounded(
         g.transect(grid(s, d), "v", n=40, lines=_lines(s, d)), "distance_deg", "v"
     ),
@@ -147,3 +151,4 @@ ORACLE = {
         " 65.0 - n_nationkey * 5.0 AS lat1, n_nationkey * 15.0 - 175.0 AS lon1 FROM nation", 40, "line"
     ),
 }
+ORACLE["g2_transect_long_axes"] = ORACLE["g2_transect"]

@@ -1,7 +1,7 @@
 """Analytics over labelled, gridded data as lazy Spark plans."""
 
 from graticule.functions.bins import AxisStats, Binning
-from graticule.model import detect_roles, numeric_variables
+from graticule.model import coordinate_metadata, detect_roles, numeric_variables
 from graticule.operators.comparison import (
     compare_grids,
     correlation_map,

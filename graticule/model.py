@@ -70,6 +70,11 @@ def detect_roles(df: DataFrame) -> dict[str, str | None]:
     return found
 
 
+def coordinate_metadata(df: DataFrame) -> dict[str, dict]:
+    """Attributes of every column that has a coordinate role."""
+    return {c: dict(df.schema[c].metadata or {}) for c in column_roles(df)}
+
+
 def numeric_variables(df: DataFrame) -> list[str]:
     """Numeric columns that are not dimensions."""
     dims = column_roles(df)

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from graticule.functions.bins import AxisStats
 from graticule.functions.columns import col
+from graticule.functions.ordering import global_index
+from graticule.functions.sizing import BROADCAST_ROWS
 from graticule.model import column_roles
 from graticule.operators.maps import map_mean
 from graticule.session import cut_lineage
@@ -61,6 +65,7 @@ def transect(
     lat: str = "lat",
     lon: str = "lon",
     axes: dict[str, AxisStats] | None = None,
+    max_axis: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Bilinear values of the mean map along one line, or along every line of a frame.
 
@@ -88,17 +93,18 @@ def transect(
         )
         .select("line", "point", "distance_deg", "_lat", "_lon")
     )
-    # the map is read five times below (two axes, their ends, the corners): scan the data once
+    # the map is read again for its axes, their ends and the corners: scan the data once
     cells = cut_lineage(
         map_mean(df, var, target, lon, lat, axes).select(
             col(lat).cast("double").alias("_y"), col(lon).cast("double").alias("_x"), col(var).alias("_v")
         )
     )
-    ends = cells.agg(
-        *[f(F.col(a)).alias(f"{n}{a}") for a in ("_y", "_x") for n, f in (("n", F.count_distinct), ("lo", F.min), ("hi", F.max))]
-    ).first()
-    points = _bracket(points, cells, "_lat", "_y", ends)
-    points = _bracket(points, cells, "_lon", "_x", ends)
+    labels = _short_axes(cells, max_axis)
+    if labels is not None:
+        points = _look_up(points, *labels)
+    else:
+        points = _bracket(points, cells, "_lat", "_y")
+        points = _bracket(points, cells, "_lon", "_x")
     wy = F.try_divide(F.col("_lat") - F.col("_y_lo"), F.col("_y_hi") - F.col("_y_lo"))
     wx = F.try_divide(F.col("_lon") - F.col("_x_lo"), F.col("_x_hi") - F.col("_x_lo"))
     corners = F.array(
@@ -119,27 +125,60 @@ def transect(
     return out.drop("line") if single else out
 
 
-def _bracket(points: DataFrame, cells: DataFrame, p: str, axis: str, ends: Row) -> DataFrame:
+def _short_axes(cells: DataFrame, max_axis: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Sorted labels of both axes, or None if one has more than max_axis; one job."""
+
+    def labels(axis: str) -> DataFrame:
+        found = cells.select(F.lit(axis).alias("axis"), F.col(axis).alias("label"))
+        return found.filter(F.col("label").isNotNull()).distinct().limit(max_axis + 1)
+
+    fetched = labels("_y").union(labels("_x")).toPandas()
+    y, x = (np.sort(fetched.loc[fetched["axis"] == a, "label"].to_numpy(dtype=float)) for a in ("_y", "_x"))
+    return (y, x) if max(len(y), len(x)) <= max_axis else None
+
+
+def _look_up(points: DataFrame, y_labels: np.ndarray, x_labels: np.ndarray) -> DataFrame:
+    """Add the neighbouring axis values of each point by binary search in the (short) axes.
+
+    Points stay where they are: the axes travel with the function.
+    """
+
+    def ends_of(labels: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if len(labels) < 2:
+            return np.full(len(p), np.nan), np.full(len(p), np.nan)
+        inside = (p >= labels[0]) & (p <= labels[-1])
+        i = np.clip(np.searchsorted(labels, p, side="right") - 1, 0, len(labels) - 2)
+        return np.where(inside, labels[i], np.nan), np.where(inside, labels[i + 1], np.nan)
+
+    def neighbours(lat: pd.Series, lon: pd.Series) -> pd.DataFrame:
+        y, x = ends_of(y_labels, lat.to_numpy()), ends_of(x_labels, lon.to_numpy())
+        return pd.DataFrame({"_y_lo": y[0], "_y_hi": y[1], "_x_lo": x[0], "_x_hi": x[1]})
+
+    found = F.pandas_udf(neighbours, "_y_lo double, _y_hi double, _x_lo double, _x_hi double")
+    return points.withColumn("_n", found("_lat", "_lon")).select("*", "_n.*").drop("_n")
+
+
+def _intervals(cells: DataFrame, axis: str) -> DataFrame:
+    """Neighbouring labels of a long axis, by position in its order."""
+    labels = global_index(cells.select(axis).filter(F.col(axis).isNotNull()).distinct(), [axis])
+    upper = labels.select((F.col("_row") - 1).alias("_row"), F.col(axis).alias(f"{axis}_hi"))
+    return labels.join(upper, "_row").select(F.col(axis).alias(f"{axis}_lo"), f"{axis}_hi")
+
+
+def _bracket(points: DataFrame, cells: DataFrame, p: str, axis: str) -> DataFrame:
     """Add the two neighbouring axis values of each point (NULL outside the axis).
 
-    An equi-join on equal-width slots instead of a range join: each interval is
-    listed under the slots it touches, about two per interval on a regular axis.
-    The axis itself is one distinct list of coordinates, no longer than the axis.
+    For axes too long to travel: an equi-join on equal-width slots instead of a
+    range join; each interval is listed under the slots it touches, about two per
+    interval on a regular axis.
     """
-    whole = cells.agg(F.sort_array(F.collect_set(F.col(axis))).alias("_a"))
-    usable = whole.filter(F.size("_a") > 1)
-    size, low, high = ends[f"n{axis}"], ends[f"lo{axis}"], ends[f"hi{axis}"]
+    size, low, high = cells.agg(F.count_distinct(axis), F.min(axis), F.max(axis)).first()
     width = (high - low) / (size - 1) if size > 1 else 1.0
 
     def slot(c: Column) -> Column:
         return F.floor((c - F.lit(low)) / F.lit(width)).cast("bigint")
 
-    lower = F.expr("slice(_a, 1, size(_a) - 1)")
-    upper = F.expr("slice(_a, 2, size(_a) - 1)")
-    pairs = usable.select(F.inline(F.arrays_zip(lower.alias("lo"), upper.alias("hi")))).toDF(
-        f"{axis}_lo", f"{axis}_hi"
-    )
-    slots = pairs.withColumn(
+    slots = _intervals(cells, axis).withColumn(
         "_slot", F.explode(F.sequence(slot(F.col(f"{axis}_lo")), slot(F.col(f"{axis}_hi"))))
     )
     here = points.withColumn("_slot", slot(F.col(p)))

@@ -39,11 +39,12 @@ def _bilinear(lats, lons, v, y, x):
     return np.interp(y, lats, at_lon)
 
 
+@pytest.mark.parametrize("limit", [1000, 0])
 @pytest.mark.parametrize("line", [((0.0, 0.0), (50.0, 10.0)), ((-10.0, 2.0), (60.0, 3.0)), ((28.0, 4.0), (28.0, 10.0))])
-def test_transect_interpolates_and_leaves_outside_missing(spark, uneven, line):
+def test_transect_interpolates_and_leaves_outside_missing(spark, uneven, line, limit):
     lats, lons, v, pdf = uneven
     twice = frame(spark, pd.concat([pdf, pdf]))
-    got = rows(g.transect(twice, "v", *line, 11), "point")
+    got = rows(g.transect(twice, "v", *line, 11, max_axis=limit), "point")
     (y0, x0), (y1, x1) = line
     for k, row in got.iterrows():
         y, x = y0 + k / 10 * (y1 - y0), x0 + k / 10 * (x1 - x0)
@@ -59,6 +60,14 @@ def test_transect_next_to_a_missing_cell(spark, uneven):
     assert got["v"].isna().tolist() == [False] + [x >= 1.0 for x in range(1, 11)]
 
 
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_transect_over_an_axis_of_one_label_or_none(spark, uneven, limit):
+    df = frame(spark, uneven[3])
+    flat = g.transect(df.filter("lat = 30"), "v", (30.0, 0.0), (30.0, 10.0), 10, max_axis=limit)
+    assert flat.filter("v IS NOT NULL").count() == 0 and flat.count() == 10
+    assert g.transect(df.filter("lat > 900"), "v", (0.0, 0.0), (1.0, 1.0), 10, max_axis=limit).count() == 10
+
+
 def test_transect_bounds(spark, uneven):
     with pytest.raises(ValueError):
         g.transect(frame(spark, uneven[3]), "v", (0, 0), (1, 1), 5)

@@ -206,3 +206,7 @@ def test_axes_table_and_chunks(spark, synthetic, data):
 
 def test_schema_of_a_sample_keeps_the_whole_count(data):
     assert data.schema("pressure", limit=5)["__len__"] == 200
+
+
+def test_coordinate_metadata(synthetic):
+    assert g.coordinate_metadata(synthetic) == {"time": {}, "lat": {"units": "degrees_north"}, "lon": {"units": "degrees_east"}}
