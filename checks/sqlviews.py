@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import partial
 
 import graticule as g
-from checks.common import DIMS, SERIES, grid, rounded, rs, table, with_grid
+from checks.common import DIMS, SERIES, grid, rounded, rs, with_grid
 from checks.temporal import bucket_sql
 
 

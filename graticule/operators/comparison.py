@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from graticule.functions.aggregates import guarded_corr
 from graticule.functions.bins import AxisStats, Binning
 from graticule.functions.calendar import as_time
-from graticule.functions.columns import at_least, at_most, col, equals, is_numeric, not_null, type_of
+from graticule.functions.columns import at_least, at_most, col, equals, not_null
 from graticule.model import column_roles
 from graticule.operators.selection import nearest_cell
 
@@ -214,11 +214,6 @@ def compare_grids(
     )
 
 
-def shared_variables(a: DataFrame, b: DataFrame) -> list[str]:
-    """Numeric columns present in both frames."""
-    return [c for c in a.columns if c in b.columns and is_numeric(type_of(a, c))]
-
-
 def correlation_map(
     df: DataFrame,
     var: str,

@@ -22,7 +22,7 @@ from graticule.functions.columns import (
     require,
     type_of,
 )
-from graticule.functions.sizing import fits
+from graticule.functions.sizing import small_side
 from graticule.model import column_roles, detect_roles, numeric_variables
 from graticule.operators import profiling, reduction, selection, temporal
 from graticule.plans.compose import ResultCache
@@ -365,5 +365,4 @@ def _position_range(grid: Grid, df: DataFrame, dim: str, where: slice) -> DataFr
     chosen = axis.filter(idx.between(start, stop - 1) & ((idx - start) % step == 0)).select(
         F.col("label").alias(dim)
     )
-    side = F.broadcast(chosen) if fits(chosen) else chosen
-    return df.join(side, dim, "left_semi")
+    return df.join(small_side(chosen), dim, "left_semi")
