@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from graticule.llm import packing
+from graticule.llm import chat, exact, packing, sharding
 
 QUERIES = {
+    "op1_hilbert_shards": sharding.query,
     "op3_pack": packing.query,
+    "op4_exact_dedup": exact.query,
+    "op9_prefix_examples": chat.query,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op4_exact_dedup": exact.SQL,
+    "op9_prefix_examples": chat.SQL,
+}
