@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +14,21 @@ from graticule.session import configure
 WHITE = r"[\x20\x09-\x0D]+"  # the white space that separates words, everywhere in this package
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that their Python can import it."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        archive = os.path.join(tempfile.mkdtemp(prefix="graticule-"), "graticule-package")
+        spark.sparkContext.addPyFile(shutil.make_archive(archive, "zip", root, "graticule"))
+        _SHIPPED.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from graticule.llm import chat, exact, packing, sharding
+from graticule.llm import chat, exact, fertility, packing, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_hilbert_shards": sharding.query,
+    "op2_toxicity_chain": toxicity.query,
     "op3_pack": packing.query,
     "op4_exact_dedup": exact.query,
+    "op5_fertility": fertility.query,
+    "op6_linked_secrets": secrets.query,
     "op9_prefix_examples": chat.query,
 }
 
