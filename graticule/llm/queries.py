@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from graticule.llm import chat, exact, fertility, packing, secrets, sharding, toxicity
+from graticule.llm import chat, exact, fertility, jaccard, packing, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_hilbert_shards": sharding.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_exact_dedup": exact.query,
     "op5_fertility": fertility.query,
     "op6_linked_secrets": secrets.query,
+    "op7_jaccard_components": jaccard.query,
     "op9_prefix_examples": chat.query,
 }
 
