@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from graticule.llm import chat, exact, fertility, jaccard, packing, secrets, sharding, toxicity
+from graticule.llm import chat, exact, fertility, jaccard, packing, passages, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_hilbert_shards": sharding.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_linked_secrets": secrets.query,
     "op7_jaccard_components": jaccard.query,
     "op9_prefix_examples": chat.query,
+    "op10_shared_passages": passages.query,
 }
 
 ORACLE = {
