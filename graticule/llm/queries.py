@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from graticule.llm import chat, exact, fertility, jaccard, packing, passages, secrets, sharding, toxicity
+import corpus_pipeline
+from graticule.llm import chat, exact, fertility, jaccard, mixing, packing, passages, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_hilbert_shards": sharding.query,
@@ -12,8 +13,10 @@ QUERIES = {
     "op5_fertility": fertility.query,
     "op6_linked_secrets": secrets.query,
     "op7_jaccard_components": jaccard.query,
+    "op8_soft_mixing": mixing.query,
     "op9_prefix_examples": chat.query,
     "op10_shared_passages": passages.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
