@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import re
 
 import numpy as np
@@ -33,6 +34,9 @@ class WordIds:
     LIMIT = 1 << 20
 
     def __init__(self, path: str):
+        # one thread per task: Spark has a task on every core already
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        os.environ["RAYON_NUM_THREADS"] = "1"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -86,7 +90,7 @@ class WordIds:
         except KeyError:
             if len(self.words) > self.LIMIT:
                 self.words.clear()
-            self._learn(set(words) - self.words.keys())
+            self._learn({w for w in set(words) if w not in self.words})
             raw = b"".join(map(self.words.__getitem__, words))
         return np.frombuffer(raw, dtype="<u2")
 
