@@ -40,14 +40,25 @@ def difference(sizes: list[int], windows: int) -> list[list[int]]:
     return heap[0][3] if heap else []
 
 
-def fill(sizes: list[int], capacity: int) -> list[list[int]]:
-    """Windows of at most that capacity; their number rises until no window exceeds it."""
+def fill(sizes: list[int], capacity: int, finest: int) -> list[list[tuple[int, int, int]]]:
+    """Windows of at most that capacity, each a list of (item, from, to).
+
+    The number of windows begins at what the sum needs. If a window exceeds the capacity,
+    items over ``finest`` are halved, three times at most, as smaller ones deal out more evenly;
+    from then on the number of windows rises until none does.
+    """
     windows = max(1, -(-sum(sizes) // capacity))
+    parts = [(i, 0, size) for i, size in enumerate(sizes)]
+    halvings = 0
     while True:
-        dealt = [w for w in difference(sizes, windows) if w]
-        if all(sum(sizes[i] for i in w) <= capacity for w in dealt):
-            return dealt
-        windows += 1
+        dealt = [w for w in difference([z - a for _, a, z in parts], windows) if w]
+        if all(sum(parts[p][2] - parts[p][1] for p in w) <= capacity for w in dealt):
+            return [[parts[p] for p in w] for w in dealt]
+        if halvings == 3:
+            windows += 1
+        else:
+            halvings += 1
+            parts = [h for i, a, z in parts for h in (((i, a, (a + z) // 2), (i, (a + z) // 2, z)) if z - a > finest else ((i, a, z),))]
 
 
 def pack(
@@ -57,8 +68,9 @@ def pack(
     capacity: int = 2048,
     tokenizer: str | None = None,
     end_id: int = 1,
-    piece: int = 512,
-    windows: int = 32,
+    piece: int = 1024,
+    windows: int = 16,
+    finest: int = 64,
 ) -> DataFrame:
     """Cut the ids of every text into pieces and pack these into sequences.
 
@@ -66,8 +78,8 @@ def pack(
     endian), doc_tokens, sequence_id, offset. A text's ids end with ``end_id``. Whole
     runs of ``capacity`` ids become sequences of their own; the rest of a text is cut
     into equal pieces of at most ``piece`` ids, and the pieces of a block (as many as
-    fill ``windows`` sequences) are dealt to sequences by :func:`fill`. Blocks follow
-    one another within an input partition, so nothing is shuffled, memory is bounded by
+    fill ``windows`` sequences; the last is cut to fit) are dealt to sequences by
+    :func:`fill`. Blocks follow one another within an input partition, so nothing is shuffled, memory is bounded by
     a block and the longest text, and a task run again gives the same pieces.
 
     A null text counts as empty (one piece with the end id); a null doc_id stays null;
@@ -89,12 +101,12 @@ def pack(
 
         def packed() -> None:
             nonlocal number, size
-            for members in fill([len(p[2]) for p in block], capacity):
+            for members in fill([len(p[2]) for p in block], capacity, finest):
                 at = 0
-                for i in members:
+                for i, a, z in members:
                     d, start, ids, total = block[i]
-                    out.append((d, start, len(ids), ids.tobytes(), total, base + number, at))
-                    at += len(ids)
+                    out.append((d, start + a, z - a, ids[a:z].tobytes(), total, base + number, at))
+                    at += z - a
                 number += 1
             block.clear()
             size = 0
@@ -118,8 +130,12 @@ def pack(
                     parts = -(-rest // piece)
                     cuts = [whole + rest * k // parts for k in range(parts + 1)]
                     for a, z in zip(cuts, cuts[1:]):
-                        if size + z - a > room:
+                        if size + z - a > room:  # the block is filled up
+                            m = a + room - size if room - size >= finest else a
+                            if m > a:
+                                block.append((key, a, ids[a:m], total))
                             packed()
+                            a = m
                         block.append((key, a, ids[a:z], total))
                         size += z - a
                 if len(out) >= 2000:
