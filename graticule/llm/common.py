@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graticule.session import configure
+from graticule.session import configure, materialize
 
 WHITE = r"[\x20\x09-\x0D]+"  # the white space that separates words, everywhere in this package
 
@@ -32,19 +34,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tagged(docs: DataFrame, *columns: Column) -> DataFrame:
-    """The columns wanted plus ``_tag``, which tells repeated rows apart.
+def settled(docs: DataFrame) -> DataFrame:
+    """The rows as files: docs itself where it only reads, selects and filters files, else a written copy.
 
-    The tag is a row's place in its input split. Splits of a given set of files
-    do not depend on the columns read, so several scans give the same tags.
+    Operators that read a table twice know a row by its file and its place there, which
+    hold whatever becomes of splits, executors and columns read.
     """
-    return docs.select(*columns, F.monotonically_increasing_id().alias("_tag"))
+    nodes = re.findall(r"^[ :+|-]*(\w+)", docs._jdf.queryExecution().analyzed().toString(), re.MULTILINE)
+    if set(nodes) <= {"Project", "Filter", "Relation", "SubqueryAlias"}:
+        try:
+            docs.select(docs.metadataColumn("_metadata")["row_index"])
+            return docs
+        except AnalysisException:
+            pass
+    return materialize(docs, "rows")
+
+
+def row_tag(docs: DataFrame) -> Column:
+    """A 64-bit hash of a settled row's file and its place there."""
+    place = docs.metadataColumn("_metadata")
+    return F.xxhash64(place["file_path"], place["row_index"])
+
+
+def tagged(docs: DataFrame, *columns: Column) -> DataFrame:
+    """The columns wanted of settled rows plus ``_tag``, which tells repeated rows apart."""
+    return docs.select(*columns, row_tag(docs).alias("_tag"))
 
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of docs whose tags are not among the dropped ones; same columns.
+    """The settled rows whose tags are not among the dropped ones; same columns.
 
     The dropped side holds tags only and is the hashed one, so the texts are not sorted.
     """
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), F.monotonically_increasing_id().alias("_tag"))
+    rows = tagged(docs, F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
     return rows.join(dropped.select("_tag").hint("shuffle_hash"), "_tag", "left_anti").select("_row.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graticule.llm.common import WHITE, table, tagged, without
+from graticule.llm.common import WHITE, settled, table, tagged, without
 from graticule.session import materialize
 
 PREFIX = 64  # characters hashed in the second step
@@ -37,10 +37,11 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", al
     shuffled; a bucket shared by chance costs a hash, never a wrong group. ``sha256`` is
     null for rows settled earlier unless ``all_hashes`` asks for the digest of every text.
 
-    Of equal texts the row with the smallest doc_id stays (null ids last, repeated rows in
-    input order), so exactly one row of a group is kept. A null text equals the empty one;
+    Of equal texts the row with the smallest doc_id stays (null ids last, repeated rows by
+    tag), so exactly one row of a group is kept. A null text equals the empty one;
     an empty table gives no rows; other columns are not read.
     """
+    docs = settled(docs)
     narrow = tagged(
         docs, F.col(doc_id).alias("doc_id"), F.length(normalised(F.col(text))).alias("_length"),
         F.xxhash64(F.substring(normalised(F.col(text)), 1, PREFIX)).alias("_prefix"),
@@ -79,6 +80,7 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", al
 
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
+    docs = settled(docs)
     return without(docs, exact_groups(docs, doc_id, text).where("NOT kept"))
 
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graticule.llm.common import table, tagged
+from graticule.llm.common import table
 from graticule.llm.word_ids import vocabulary_path
 from graticule.session import materialize
 
@@ -79,28 +79,28 @@ def token_measures(ids: np.ndarray, chars: int, is_byte: np.ndarray) -> tuple[in
 
 
 def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", vocabulary: str | None = None) -> DataFrame:
-    """One row per input row: _tag, doc_id, lang, the plain counts, n_tokens and the three measures."""
+    """One row per input row: doc_id, lang, the plain counts, n_tokens and the three measures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, is_byte = _model(vocabulary)
         for given in batches:
             for at in range(0, given.num_rows, 256):
                 part = given.slice(at, 256)
-                raws = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in part.column(3)]
+                raws = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in part.column(2)]
                 plain = [counts(r) for r in raws]
                 tokens = model.encode([r.decode("utf-8", "replace") for r in raws], num_threads=1)
                 made = [token_measures(np.array(t, dtype=np.int64), c[1], is_byte) for t, c in zip(tokens, plain)]
                 ints = [pa.array(c, pa.int64()) for c in zip(*plain)]
                 n, *rest = zip(*made)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:3], *ints, pa.array(n, pa.int64()), *[pa.array(r, pa.float64()) for r in rest]],
-                    names=["_tag", "doc_id", "lang", *COUNTS, "n_tokens", *MEASURES],
+                    [*part.columns[:2], *ints, pa.array(n, pa.int64()), *[pa.array(r, pa.float64()) for r in rest]],
+                    names=["doc_id", "lang", *COUNTS, "n_tokens", *MEASURES],
                 )
 
-    picked = tagged(docs, F.col(doc_id).cast("long").alias("doc_id"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("binary").alias("text"))
+    picked = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("binary").alias("text"))
     longs = ", ".join(f"{c} long" for c in (*COUNTS, "n_tokens"))
     doubles = ", ".join(f"{c} double" for c in MEASURES)
-    return picked.select("_tag", "doc_id", "lang", "text").mapInArrow(run, f"_tag long, doc_id long, lang string, {longs}, {doubles}")
+    return picked.mapInArrow(run, f"doc_id long, lang string, {longs}, {doubles}")
 
 
 def fertility(
@@ -109,10 +109,10 @@ def fertility(
     """One row per input row: doc_id, lang, counts, n_tokens, measures, base_failed, kept.
 
     A text fails the base rule with fewer than 20 words, or when over 30 % of its words
-    lie in repeated windows of 8. Otherwise it is kept if each measure lies in the band of
-    its language and length class (texts of 2**k to 2**(k+1) tokens; entropy grows with
-    length): the quartiles over all documents that pass the base rule, widened by ``width``
-    quartile distances and by a tenth of the median, so that only outliers fall.
+    lie in repeated windows of 8. Otherwise it is kept if each measure lies in its band:
+    the quartiles over all documents of the language that pass the base rule, widened by
+    ``width`` quartile distances and by a tenth of the median, so that only outliers fall.
+    Entropy grows with length, so its bands are also by length class (2**k to 2**(k+1) tokens).
 
     A null text has no words; a null language is a language of its own; a null doc_id stays
     null; repeated rows are judged alike; an empty table gives no rows; other columns are
@@ -121,15 +121,20 @@ def fertility(
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     measured = measure(docs, doc_id, text, lang, vocabulary).withColumn("base_failed", failed)
     measured = materialize(measured.withColumn("_class", F.floor(F.log2(F.greatest("n_tokens", F.lit(1))))), "fertility")
-    quartiles = [F.percentile_approx(m, [0.25, 0.5, 0.75], 1000).alias(f"_{m}") for m in MEASURES]
-    bands = measured.where("NOT base_failed").groupBy("lang", "_class").agg(*quartiles)
-    bands = bands.select(F.col("lang").alias("_lang"), F.col("_class").alias("_of"), *[f"_{m}" for m in MEASURES])
+    sound = measured.where("NOT base_failed")
+
+    def bands(measures: Sequence[str], *by: str) -> DataFrame:
+        quartiles = [F.percentile_approx(m, [0.25, 0.5, 0.75], 1000).alias(f"_{m}") for m in measures]
+        return sound.groupBy(*by).agg(*quartiles).withColumnsRenamed({c: f"_of_{c}" for c in by})
+
+    same = F.col("lang").eqNullSafe(F.col("_of_lang"))
+    joined = measured.join(bands(MEASURES[:2], "lang"), same, "left").drop("_of_lang")
+    joined = joined.join(bands(MEASURES[2:], "lang", "_class"), same & (F.col("_class") == F.col("_of__class")), "left")
     inside = F.lit(True)
     for m in MEASURES:
         low, middle, high = (F.get(f"_{m}", F.lit(k)) for k in range(3))
         slack = width * (high - low) + middle / 10 + 0.02
         inside = inside & F.col(m).between(low - slack, high + slack)
-    joined = measured.join(bands, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("_class") == F.col("_of")), "left")
     return joined.select("doc_id", "lang", *COUNTS, "n_tokens", *MEASURES, "base_failed", (~F.col("base_failed") & F.coalesce(inside, F.lit(True))).alias("kept"))
 
 

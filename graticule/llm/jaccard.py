@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graticule.llm.common import table, tagged, without
+from graticule.llm.common import settled, table, tagged, without
 from graticule.llm.components import components
 from graticule.session import materialize
 
@@ -163,10 +163,11 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     Texts that are null, empty or blank have no set and are alone, each with its own id. Null
     ids do not name a component (null if all are). Of a component the row with the smallest
-    id is ``kept`` (null last, then input order), also among repeated rows. An empty table
+    id is ``kept`` (null last, then by tag), also among repeated rows. An empty table
     gives no rows; other columns are not read.
     """
     lowest = -(-percent * 1000 // 100)  # a partner's size is at least percent of one's own, in thousandths
+    docs = settled(docs)
     given = tagged(docs, F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     sketches = materialize(given.select("_tag", "doc_id", "text").mapInArrow(partial(_sketch, words=words, percent=percent), _SIGNED), "sketches")
     rows = sketches.select("tag", "doc_id", "n", "k1", "k2", "first")
@@ -259,6 +260,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of every group of near copies, with all columns."""
+    docs = settled(docs)
     return without(docs, jaccard_components(docs, doc_id, text).where("NOT kept"))
 
 

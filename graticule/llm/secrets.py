@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graticule.llm.common import table, tagged
+from graticule.llm.common import table
 from graticule.session import materialize
 
 # The base patterns. Matches are leftmost and do not overlap within a kind.
@@ -105,7 +105,7 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", re
     through one scan; only the rare spans are shuffled.
     """
     span = "array<struct<start: long, end: long, kind: string>>"
-    scanned = tagged(docs, F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).select("_tag", "doc_id", "text")
+    scanned = docs.select(F.monotonically_increasing_id().alias("_tag"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     scanned = materialize(scanned.mapInArrow(_scan, f"_tag long, doc_id long, base {span}, weak {span}"), "secrets")
     parts = scanned.select("_tag", F.explode("weak").alias("w")).select("_tag", "w.*")
     linked = _linked(parts, reach).groupBy("_tag").agg(F.collect_list(F.struct("start", "end", "kind")).alias("linked"))
