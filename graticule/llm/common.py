@@ -51,9 +51,9 @@ def settled(docs: DataFrame) -> DataFrame:
 
 
 def row_tag(docs: DataFrame) -> Column:
-    """A 64-bit hash of a settled row's file and its place there."""
+    """A 63-bit hash, not negative, of a settled row's file and its place there."""
     place = docs.metadataColumn("_metadata")
-    return F.xxhash64(place["file_path"], place["row_index"])
+    return F.xxhash64(place["file_path"], place["row_index"]).bitwiseAND(F.lit((1 << 63) - 1))
 
 
 def tagged(docs: DataFrame, *columns: Column) -> DataFrame:

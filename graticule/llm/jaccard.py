@@ -130,6 +130,11 @@ def shared_tokens(sets: DataFrame, code: str) -> DataFrame:
     return seen.where("_code >= 0 AND _low <> _high").groupBy(F.col("_code").alias(code)).agg(F.count(F.lit(1)).alias("_found"))
 
 
+def _needed(n: Column, m: Column, percent: int) -> Column:
+    """Tokens that sets of these sizes must share."""
+    return F.ceil((n + m) * percent / (100 + percent))
+
+
 def _up(numerator: Column, by: int) -> Column:
     return F.ceil(numerator / F.lit(by))
 
@@ -150,13 +155,15 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     2. Partners share ``reserve(n)`` of the first ``prefix_length(n)`` tokens by hash.
        Classes that share too few with anyone are done, and what is left must share
        ``percent`` of its whole set with the others.
-    3. Every class is compared with the one class that is the smallest holder of most of
-       its tokens. Components of these links are the groups of similar documents, cut into
-       groups of at most 64; the token-group matrix holds each group's union.
-    4. Tokens are ordered from rare to frequent. A class must share one of its first tokens
-       with a partner; so it is a query to the groups that hold one of these and are not in
-       its own component. It shares with no member more than with the group's union: only
-       groups whose union holds ``percent`` of the query are opened, member by member.
+    3. Every class is compared with one class: the most central holder (its tokens have the
+       most holders on average) of most of its tokens. Components of these links are the
+       similar documents, cut into groups of about 64 of like sizes; the token-group matrix
+       holds each group's union.
+    4. Tokens are ordered from rare to frequent. The first token that partners share leaves
+       both enough tokens to reach what sets of their sizes must share; so a class is a query
+       to the groups of larger components that hold such a token. It shares with
+       no member more than with the group's union: only groups whose union holds enough of the
+       query are opened, member by member.
 
     Hot tokens, copies and groups are settled by map-side work, minima and components, so no
     group's pairs are listed; a task keeps one chunk or one group of 64 at a time.
@@ -196,44 +203,49 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     enough = again.where(F.col("known") + F.coalesce("_found", F.lit(0)) >= F.ceil(F.col("n") * percent / 100)).select("cls")
     sets = materialize(whole.select("cls", "n", "tokens").join(enough.hint("shuffle_hash"), "cls", "left_semi"), "sets")
 
-    # 3. links to the smallest holder of most tokens
+    # 3. links to the most central holder of most tokens
     tokens = sets.select("cls", "n", F.explode("tokens").alias("h"))
-    spread = tokens.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min("cls").alias("anchor")).where("df > 1")
+    spread = tokens.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     held = materialize(tokens.join(spread, "h"), "tokens")
-    votes = held.where("anchor <> cls").groupBy("cls", "anchor").agg(F.count(F.lit(1)).alias("votes"))
-    stars = votes.groupBy("cls").agg(F.max_by("anchor", F.struct("votes", -F.col("anchor"))).alias("anchor"))
+    centrality = held.groupBy("cls").agg((F.sum("df") / F.max("n")).alias("weight"))
+    central = held.select("cls", "h").join(centrality, "cls").groupBy("h").agg(F.max_by("cls", F.struct("weight", "cls")).alias("anchor"))
+    votes = held.select("cls", "h").join(central, "h").where("anchor <> cls").groupBy("cls", "anchor").agg(F.count(F.lit(1)).alias("votes"))
+    stars = votes.groupBy("cls").agg(F.max_by("anchor", F.struct("votes", "anchor")).alias("anchor"))
     links = materialize(_verified(stars.select(F.col("cls").alias("a"), F.col("anchor").alias("b")), sets, percent), "links")
     roots = components(links)
 
-    # 4. first tokens, rare to frequent, that classes of several components hold
+    # 4. first tokens, rare to frequent, that classes of several components hold; ``room``
+    # is how many tokens a class has from this one on, so a partner shares no more if it is the first shared one
     mine = Window.partitionBy("cls")
     first = held.withColumn("_place", F.row_number().over(mine.orderBy("df", "h"))).withColumn("_shared", F.count(F.lit(1)).over(mine))
-    first = first.where(F.col("_place") <= F.col("_shared") - F.ceil(F.col("n") * percent / 100) + 1)
-    first = first.select("cls", "h").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    sizes = sets.select("cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    counts = sizes.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    grouped = materialize(
-        first.join(counts, "root").withColumn("part", F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / MEMBERS))), "first"
-    )
-    mixed = grouped.groupBy("h").agg(F.min("root").alias("_a"), F.max("root").alias("_z")).where("_a <> _z").select("h")
-    open_tokens = materialize(grouped.join(mixed, "h").select("cls", "h", "root", "part"), "mixed")
-    matrix = open_tokens.groupBy("h", F.col("root").alias("group_root"), "part").agg(F.lit(1).alias("_"))
-    asked = (
-        open_tokens.select("cls", "h", "root").join(matrix.select("h", "group_root", F.col("part").alias("group_part")), "h")
-        .where("root < group_root").select("cls", "group_root", "group_part").distinct()
-    )
-    asked = materialize(asked, "asked")
-    members = sizes.join(counts, "root").select(
-        F.col("cls").alias("member"), F.col("root").alias("group_root"), F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / MEMBERS)).alias("group_part")
-    )
-    group = ["group_root", "group_part"]
-    members = members.join(asked.select(*group).distinct(), group, "left_semi")
-    unions = members.join(sets.select(F.col("cls").alias("member"), "tokens"), "member").groupBy(*group).agg(
-        F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union")
+    first = first.withColumn("room", F.col("_shared") - F.col("_place") + 1).where(F.col("room") >= F.ceil(F.col("n") * percent / 100))
+
+    def rooted(df: DataFrame) -> DataFrame:
+        return df.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+
+    every = rooted(sets.select("cls", "n"))
+    counts = every.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    # a group: up to about MEMBERS classes of one component, of sizes within an eighth
+    part = F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / MEMBERS))
+    every = every.join(counts, "root").select("cls", "size", "root", part.alias("part"), F.floor(F.log("n") * 8).alias("span"), "n")
+    group = ["size", "root", "part", "span"]
+    grouped = materialize(first.select("cls", "h", "room").join(every, "cls"), "first")
+    several = grouped.groupBy("h").agg(F.min("root").alias("_a"), F.max("root").alias("_z")).where("_a <> _z").select("h")
+    queries = materialize(grouped.join(several, "h"), "queries")
+    matrix = queries.groupBy("h", *group).agg(F.min("n").alias("low"), F.max("room").alias("group_room"))
+    matrix = matrix.withColumnsRenamed({c: f"group_{c}" for c in group})
+    needed = _needed(F.col("n"), F.col("low"), percent)
+    asked = queries.select("cls", "h", "size", "root", "n", "room").join(matrix, "h")
+    larger = F.struct("group_size", "group_root") > F.struct("size", "root")
+    asked = asked.where(larger & (F.col("room") >= needed) & (F.col("group_room") >= needed))
+    asked = materialize(asked.select("cls", *[F.col(f"group_{c}").alias(c) for c in group]).distinct(), "asked")
+    members = every.join(asked.select(*group).distinct(), group, "left_semi")
+    unions = members.select("cls", *group).join(sets, "cls").groupBy(*group).agg(
+        F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"), F.min("n").alias("low")
     )
-    bound = F.size(F.array_intersect("tokens", "union")) >= F.ceil(F.col("n") * percent / 100)
-    qualifying = asked.join(sets, "cls").join(unions, group).where(bound).select("cls", *group)
-    pairs = qualifying.join(members, group).select(F.col("cls").alias("a"), F.col("member").alias("b"))
+    bound = F.size(F.array_intersect("tokens", "union")) >= _needed(F.col("n"), F.col("low"), percent)
+    qualifying = asked.join(sets, "cls").join(unions, group).where(bound).select(F.col("cls").alias("a"), *group)
+    pairs = qualifying.join(members.select(F.col("cls").alias("b"), *group), group).select("a", "b")
     links = links.unionByName(_verified(pairs, sets, percent))
     roots = components(links)
 
