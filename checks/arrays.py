@@ -58,6 +58,16 @@ def _chunks(s, d):
     )
 
 
+def _gap(s, d, **more):
+    """The label of row 2 is missing from its axis."""
+    axes = _axes(s, d)
+    axes["row"] = axes["row"].filter("idx <> 2")
+    return g.flatten_chunks(_chunks(s, d), axes, ["vec_id", "row", "col"], "value", **more)
+
+
+_GAP = "SELECT * REPLACE (CASE WHEN row = 20.0 THEN NULL ELSE row END AS row) FROM flat"
+
+
 def _flat(s, d, **more):
     return g.flatten_chunks(_chunks(s, d), _axes(s, d), ["vec_id", "row", "col"], "value", **more)
 
@@ -71,6 +81,8 @@ QUERIES = {
     "s2_read_many": _several,
     "s4_flatten_chunks": _flat,
     "s4_flatten_chunks_long_axis": lambda s, d: _flat(s, d, max_axis_rows=0),
+    "s4_flatten_chunks_axis_gap": lambda s, d: _gap(s, d),
+    "s4_flatten_chunks_axis_gap_long": lambda s, d: _gap(s, d, max_axis_rows=0),
     "s4_sel": lambda s, d: g.sel(_grid(s, d), row=30.0, col=[100.0, 170.0]),
     "s4_isel": lambda s, d: g.isel(_grid(s, d), row=-1, col=slice(2, 6)),
     "s7_to_matrix_chunks": lambda s, d: g.to_matrix(
@@ -102,6 +114,8 @@ ORACLE = {
         FROM events""",
     "s4_flatten_chunks": _FLAT + "SELECT * FROM flat",
     "s4_flatten_chunks_long_axis": _FLAT + "SELECT * FROM flat",
+    "s4_flatten_chunks_axis_gap": _FLAT + _GAP,
+    "s4_flatten_chunks_axis_gap_long": _FLAT + _GAP,
     "s4_sel": _FLAT + "SELECT vec_id, col, value FROM flat WHERE row = 30 AND col IN (100, 170)",
     "s4_isel": _FLAT + "SELECT vec_id, col, value FROM flat WHERE row = 70 AND col BETWEEN 120 AND 150",
     "s7_to_matrix_chunks": _FLAT

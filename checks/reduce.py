@@ -85,6 +85,9 @@ QUERIES |= {
     "a11_kde": lambda s, d: g.kde(grid(s, d), "v").select(
         "point", r("x").alias("x"), r(F.col("density") * 1e6, 6).alias("density_e6")
     ),
+    "a11_kde_skewed": lambda s, d: g.kde(grid(s, d).withColumn("v", F.pow(F.col("v") / 1000.0, F.lit(4.0))), "v", 60).select(
+        "point", r("x", 2).alias("x"), r(F.col("density") * 1e9, 4).alias("density_e9")
+    ),
     "a12_calendar_month": lambda s, d: rounded(g.calendar_stats(grid(s, d), "v", "month"), "mean"),
     "a12_calendar_season": lambda s, d: rounded(g.calendar_stats(grid(s, d), "v", "season"), "mean"),
     "a12_calendar_hour": lambda s, d: rounded(
@@ -234,19 +237,26 @@ ORACLE |= {
     "a11_kde": with_grid(
         f"""
         , st AS (SELECT MIN(v) AS lo, MAX(v) AS hi, STDDEV_SAMP(v) * POW(COUNT(v), -0.2) AS h, COUNT(v) AS n FROM grid),
-        fine AS (
-          SELECT LEAST(CAST(FLOOR((v - lo) / ((hi - lo) / 512.0)) AS BIGINT), 511) AS bin, COUNT(*) AS c
-          FROM grid, st WHERE v IS NOT NULL GROUP BY 1),
         pts AS (SELECT UNNEST(RANGE(100)) AS point),
         dens AS (
           SELECT point, lo + point * (hi - lo) / 99.0 AS x,
-                 SUM(c * EXP(-0.5 * POW((lo + point * (hi - lo) / 99.0
-                                         - (lo + (bin + 0.5) * ((hi - lo) / 512.0))) / h, 2)))
-                 / (MAX(n) * MAX(h) * SQRT(2 * PI())) AS density
-          FROM pts, st, fine GROUP BY point, lo, hi)
+                 SUM(EXP(-0.5 * POW((lo + point * (hi - lo) / 99.0 - v) / h, 2))) / (MAX(n) * MAX(h) * SQRT(2 * PI())) AS density
+          FROM pts, st, grid WHERE v IS NOT NULL GROUP BY point, lo, hi)
         SELECT CAST(point AS BIGINT) AS point, {rs('x')} AS x, {rs('density * 1e6', 6)} AS density_e6 FROM dens
         """
     ),
+    "a11_kde_skewed": with_grid(
+        f"""
+        , sk AS (SELECT POW(v / 1000.0, 4) AS v FROM grid),
+        st AS (SELECT MIN(v) AS lo, MAX(v) AS hi, STDDEV_SAMP(v) * POW(COUNT(v), -0.2) AS h, COUNT(v) AS n FROM sk),
+        pts AS (SELECT UNNEST(RANGE(60)) AS point),
+        dens AS (
+          SELECT point, lo + point * (hi - lo) / 59.0 AS x,
+                 SUM(EXP(-0.5 * POW((lo + point * (hi - lo) / 59.0 - v) / h, 2))) / (MAX(n) * MAX(h) * SQRT(2 * PI())) AS density
+          FROM pts, st, sk WHERE v IS NOT NULL GROUP BY point, lo, hi)
+        SELECT CAST(point AS BIGINT) AS point, {rs('x', 2)} AS x, {rs('density * 1e9', 4)} AS density_e9 FROM dens
+        """
+    ),
     "a12_calendar_month": with_grid(f"SELECT EXTRACT(MONTH FROM time) AS month, {_THREE} FROM grid GROUP BY 1"),
     "a12_calendar_season": with_grid(
         f"SELECT (EXTRACT(MONTH FROM time) % 12 + 3) // 3 AS season, {_THREE} FROM grid GROUP BY 1"

@@ -24,7 +24,8 @@ QUERIES = {
     "f6_sel": lambda s, d: g.sel(g.Grid(grid(s, d), DIMS), lat=-62.5, level=3.0),
     "f7_isel": lambda s, d: g.isel(g.Grid(grid(s, d), DIMS), time=-1, level=0),
     "f7_isel_axes_table": lambda s, d: g.isel(_with_axes(s, d), time=slice(0, 100, 7), lat=-2),
-    "f8_time_steps": lambda s, d: g.time_steps(grid(s, d)),
+    "f8_time_steps": lambda s, d: g.time_steps(grid(s, d), 200),
+    "f8_time_steps_all": lambda s, d: g.time_steps(grid(s, d)),
     "f9_frame_at": lambda s, d: g.frame_at(grid(s, d), "1997-05-05", "v", target=400).withColumn("v", r("v")),
     "f10_nearest_cell": lambda s, d: g.nearest_cell(grid(s, d), 10.0, -100.0),
     "f11_filter_ranges": lambda s, d: g.filter_ranges(
@@ -104,6 +105,7 @@ ORACLE = {
         """
     ),
     "f8_time_steps": with_grid("SELECT DISTINCT time FROM grid ORDER BY time LIMIT 200"),
+    "f8_time_steps_all": with_grid("SELECT DISTINCT time FROM grid ORDER BY time"),
     "f9_frame_at": with_grid(
         f"SELECT lat, lon, {rs('AVG(v)')} AS v FROM binned WHERE time = TIMESTAMP '1997-05-05' GROUP BY lat, lon",
         AXES,
@@ -128,3 +130,29 @@ ORACLE = {
     "f13_sample_n": "SELECT * FROM events ORDER BY md5('7|' || event_id), event_id LIMIT 50",
     "f14_convert_units": with_grid(f"SELECT time, level, lat, lon, {rs('v - 273.15')} AS v FROM grid"),
 }
+
+
+def _narrow(s, d):
+    """The grid with 32-bit latitudes such as 0.1, which no double equals."""
+    return table(s, d, "lineitem").select(
+        (F.col("l_suppkey") % 36 / 10.0).cast("float").alias("lat"),
+        F.col("l_partkey").cast("float").alias("lon"),
+        F.col("l_extendedprice").alias("v"),
+    )
+
+
+_NARROW = """
+    WITH n AS (SELECT CAST((l_suppkey % 36) / 10.0 AS FLOAT) AS lat, CAST(l_partkey AS FLOAT) AS lon, l_extendedprice AS v FROM lineitem)
+    SELECT * FROM n WHERE """
+QUERIES |= {
+    "f1_get_float32": lambda s, d: g.get(_narrow(s, d), lat=1.1),
+    "f2_dim_slice_float32": lambda s, d: g.dim_slice(_narrow(s, d), "lat", start=0.3, stop=0.7),
+    "f3_values_float32": lambda s, d: g.dim_slice(_narrow(s, d), "lat", values=[0.1, 2.3]),
+    "f6_sel_float32": lambda s, d: g.sel(g.Grid(_narrow(s, d), ["lat", "lon"]), lat=0.7),
+}
+ORACLE |= {
+    "f1_get_float32": _NARROW + "lat = CAST(1.1 AS FLOAT)",
+    "f2_dim_slice_float32": _NARROW + "lat BETWEEN CAST(0.3 AS FLOAT) AND CAST(0.7 AS FLOAT)",
+    "f3_values_float32": _NARROW + "lat IN (CAST(0.1 AS FLOAT), CAST(2.3 AS FLOAT))",
+    "f6_sel_float32": (_NARROW + "lat = CAST(0.7 AS FLOAT)").replace("SELECT * FROM n", "SELECT lon, v FROM n"),
+}

@@ -52,11 +52,11 @@ PASS_THROUGH = {
     " EXCEPT SELECT lat FROM v WHERE lat > 70",
     "cte": "WITH c AS (SELECT lat, COUNT(v) AS n FROM v GROUP BY lat) SELECT lat, n FROM c"
     " WHERE n >= (SELECT AVG(n) FROM c)",
-    "extremes": "SELECT time, lat, lon, level, v FROM v WHERE v < 1000 ORDER BY v, time, lat, lon, level LIMIT 10",
-    "zones": "SELECT CASE WHEN lat >= 60 THEN 'Arctic' WHEN lat >= 20 THEN 'Middle' ELSE 'Low' END AS zone,"
-    " MIN(v) AS lo, MAX(v) AS hi, COUNT(*) AS obs FROM v GROUP BY zone",
-    "months": "SELECT CAST(EXTRACT(MONTH FROM time) AS BIGINT) AS month, MIN(v) AS lo, MAX(v) AS hi FROM v GROUP BY 1",
-    "descriptive": "SELECT COUNT(*) AS total_obs, MIN(v) AS min_v, MAX(v) AS max_v FROM v",
+    "extremes": "SELECT lat, lon, MAX(v) AS top FROM v WHERE level = 2 GROUP BY lat, lon ORDER BY top DESC, lat, lon LIMIT 12",
+    "zones": "SELECT CASE WHEN lon < 0 THEN 'west' ELSE 'east' END AS side, level,"
+    " COUNT(DISTINCT lat) AS rings, MAX(v) - MIN(v) AS width FROM v GROUP BY side, level",
+    "months": "SELECT CAST(EXTRACT(MONTH FROM time) AS BIGINT) AS month, COUNT(*) - COUNT(v) AS gaps FROM v GROUP BY 1",
+    "descriptive": "SELECT COUNT(DISTINCT time) AS steps, COUNT(DISTINCT lat) * COUNT(DISTINCT lon) AS cells FROM v",
 }
 
 
@@ -77,6 +77,7 @@ QUERIES = {
     ),
     "q3_table": lambda s, d: _grid(s, d).table('"V"'),
     "q4_define": _defined,
+    "q4_define_two_grids": lambda s, d: _two_grids(s, d),
     "q5_cached": lambda s, d: rounded(_cached(s, d), "v"),
     "q6_preview": lambda s, d: g.preview(grid(s, d), 1000, ["time", "level", "lat", "lon", "v", "w"]),
     "q7_get_with_transforms": lambda s, d: _grid(s, d)
@@ -95,6 +96,15 @@ QUERIES = {
 QUERIES |= {f"sql_{name}": _plain(text) for name, text in PASS_THROUGH.items()}
 
 
+def _two_grids(s, d):
+    """The same name defined by two datasets."""
+    parts = {"all": _grid(s, d), "south": g.Grid(grid(s, d).filter("lat < -50"), DIMS)}
+    for data in parts.values():
+        data.define("top", "SELECT MAX(v) AS top FROM v")
+    south, every = (parts[p].table("top").selectExpr(f"'{p}' AS part", "top") for p in ("south", "all"))
+    return every.unionByName(south)
+
+
 def _described(s, d):
     df = grid(s, d).withMetadata("v", {"units": "K", "long_name": "Value"})
     return df.withMetadata("lat", {"units": "degrees_north"})
@@ -131,6 +141,9 @@ _META = " UNION ALL ".join(
 )
 
 ORACLE = {
+    "q4_define_two_grids": with_grid(
+        "SELECT 'all' AS part, MAX(v) AS top FROM grid UNION ALL SELECT 'south' AS part, MAX(v) AS top FROM grid WHERE lat < -50"
+    ),
     "m6_table_metadata": with_grid(_META),
     "q1_sql": with_grid(
         f"SELECT lat, {rs('AVG(v)')} AS avg_v, COUNT(*) AS n FROM grid WHERE lat > 40 GROUP BY lat"

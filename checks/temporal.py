@@ -364,3 +364,46 @@ ORACLE |= {
                <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR
         """,
 }
+
+
+def _counted_sql(source, width, origin, method):
+    """Buckets of a fixed width counted from an origin, with the empty ones."""
+    value = "COALESCE(v, 0)" if method == "sum" else "v"
+    return f"""
+        , s AS ({source}),
+        b AS (SELECT TIME_BUCKET(INTERVAL {width}, t, {origin}) AS t, {_sql(method, 'v')} AS v FROM s GROUP BY 1),
+        spine AS (SELECT UNNEST(GENERATE_SERIES(MIN(t), MAX(t), INTERVAL {width})) AS t FROM b)
+        SELECT spine.t AS time, {rs(value, 3)} AS v FROM spine LEFT JOIN b ON b.t = spine.t
+        """
+
+
+def _events(s, d):
+    return table(s, d, "events").select(F.col("ts").alias("time"), F.col("value").alias("v"))
+
+
+_MIDNIGHT = "(SELECT DATE_TRUNC('day', MIN(t)) FROM s)::TIMESTAMP"
+QUERIES |= {
+    "t1_resample_6h_mean": lambda s, d: rounded(g.resample(_events(s, d), "time", "6h", "mean"), "v", d=3),
+    "t1_resample_2d_sum": lambda s, d: rounded(g.resample(grid(s, d), "time", "2D", "sum", values=["v"]), "v", d=3),
+    "t1_resample_me_max": lambda s, d: rounded(g.resample(grid(s, d), "time", "ME", "max", values=["v"]), "v", d=3),
+    "t2_resample_groups_6h": lambda s, d: rounded(
+        g.resample(table(s, d, "events"), "ts", "6h", "max", ["event_type"], ["value"]), "value", d=3
+    ),
+}
+ORACLE |= {
+    "t1_resample_6h_mean": with_grid(_counted_sql("SELECT ts AS t, value AS v FROM events", "6 HOUR", _MIDNIGHT, "mean")),
+    "t1_resample_2d_sum": with_grid(_counted_sql("SELECT time::TIMESTAMP AS t, v FROM grid", "2 DAY", _MIDNIGHT, "sum")),
+    "t1_resample_me_max": with_grid(
+        f"""
+        , b AS (SELECT DATE_TRUNC('month', time) AS t, MAX(v) AS v FROM grid GROUP BY 1),
+        spine AS (SELECT UNNEST(GENERATE_SERIES(MIN(t), MAX(t), INTERVAL 1 MONTH)) AS t FROM (SELECT t::TIMESTAMP AS t FROM b))
+        SELECT LAST_DAY(spine.t)::TIMESTAMP AS time, {rs('v', 3)} AS v FROM spine LEFT JOIN b ON b.t = spine.t
+        """
+    ),
+    "t2_resample_groups_6h": f"""
+        WITH b AS (SELECT event_type, TIME_BUCKET(INTERVAL 6 HOUR, ts, TIMESTAMP '2000-01-01') AS ts, MAX(value) AS value
+                   FROM events GROUP BY 1, 2),
+        spine AS (SELECT event_type, UNNEST(GENERATE_SERIES(MIN(ts), MAX(ts), INTERVAL 6 HOUR)) AS ts FROM b GROUP BY 1)
+        SELECT event_type, ts, {rs('value', 3)} AS value FROM spine LEFT JOIN b USING (event_type, ts)
+        """,
+}

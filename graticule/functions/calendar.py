@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,15 +12,12 @@ from graticule.functions.columns import col, type_of
 
 NTZ = T.TimestampNTZType()
 
-# Resampling frequencies, the date_trunc unit and the distance between buckets.
-FREQUENCIES = {
-    "h": ("HOUR", "INTERVAL '1' HOUR"),
-    "D": ("DAY", "INTERVAL '1' DAY"),
-    "W": (None, "INTERVAL '7' DAY"),
-    "MS": ("MONTH", "INTERVAL '1' MONTH"),
-    "QS": ("QUARTER", "INTERVAL '3' MONTH"),
-    "YS": ("YEAR", "INTERVAL '1' YEAR"),
-}
+# Resampling frequencies. Units that may be multiplied, in seconds; calendar
+# units with the date_trunc unit and their months; week ends.
+SECONDS = {"min": 60, "h": 3_600, "D": 86_400}
+MONTHS = {"M": ("MONTH", 1), "Q": ("QUARTER", 3), "Y": ("YEAR", 12)}
+WEEK_ENDS = ("MON", "TUE", "WED", "THU", "FRI", "SAT", "SUN")
+DAY = SECONDS["D"]
 
 # Calendar groupings and the most distinct keys each can have.
 CALENDAR_KEYS = {"month": 12, "dayofyear": 366, "season": 4, "hour": 24}
@@ -32,24 +31,64 @@ def as_time(df: DataFrame, name: str) -> Column:
     return c if isinstance(type_of(df, name), T.TimestampNTZType) else c.cast(NTZ)
 
 
+def _parsed(freq: str) -> tuple[str, int | str]:
+    """(unit, how many) of a clock frequency, ("W", last day) or ("M", "S" or "E") and so on."""
+    if clock := re.fullmatch(r"([1-9]\d*)?(min|h|D)", freq):
+        return clock[2], int(clock[1] or 1)
+    if week := re.fullmatch(r"W(?:-([A-Z]{3}))?", freq):
+        if (week[1] or "SUN") in WEEK_ENDS:
+            return "W", week[1] or "SUN"
+    if months := re.fullmatch(r"([MQY])([SE])", freq):
+        return months[1], months[2]
+    raise ValueError(
+        f"Unknown frequency: {freq}. Known: min, h, D (also multiplied, as in 6h), W, W-MON to W-SUN, MS, ME, QS, QE, YS, YE"
+    )
+
+
 def check_frequency(freq: str) -> None:
-    if freq not in FREQUENCIES:
-        raise ValueError(f"Unknown frequency: {freq}. Known: {list(FREQUENCIES)}")
+    _parsed(freq)
+
+
+def needs_origin(freq: str) -> bool:
+    """Whether buckets are counted from the first day of the data, as those that do not divide a day are."""
+    unit, n = _parsed(freq)
+    return unit in SECONDS and DAY % (SECONDS[unit] * n) != 0
+
+
+def bucket(t: Column, freq: str, origin: Column | None = None) -> Column:
+    """Start of the bucket a time falls into; weeks are named by their last day.
+
+    ``origin`` is the first day of the data, from which buckets that do not divide a day count.
+    Month, quarter and year ends give the start here, see :func:`label`.
+    """
+    unit, n = _parsed(freq)
+    if unit == "W":
+        return F.next_day(F.date_sub(F.to_date(t), 1), n).cast(NTZ)
+    if unit in MONTHS:
+        return F.date_trunc(MONTHS[unit][0], t).cast(NTZ)
+    if n == 1:
+        return F.date_trunc({"min": "MINUTE", "h": "HOUR", "D": "DAY"}[unit], t).cast(NTZ)
+    width = SECONDS[unit] * n
+    start = F.date_trunc("DAY", t if origin is None else origin).cast(NTZ)
+    passed = F.unix_seconds(t.cast("timestamp")) - F.unix_seconds(start.cast("timestamp"))
+    # plain seconds on the zone-less clock
+    return start + F.make_dt_interval(secs=F.floor(passed / width) * width)
 
 
-def bucket(t: Column, freq: str) -> Column:
-    """Label of the bucket a time falls into (weeks end on their Sunday)."""
-    check_frequency(freq)
-    unit = FREQUENCIES[freq][0]
-    if unit is None:
-        return F.next_day(F.date_sub(F.to_date(t), 1), "SUN").cast(NTZ)
-    return F.date_trunc(unit, t).cast(NTZ)
+def label(start: Column, freq: str) -> Column:
+    """The bucket's name: its start, or its last day for month, quarter and year ends."""
+    unit, kind = _parsed(freq)
+    if unit not in MONTHS or kind == "S":
+        return start
+    return F.last_day(F.add_months(F.to_date(start), MONTHS[unit][1] - 1)).cast(NTZ)
 
 
 def step(freq: str) -> Column:
     """Distance between two neighbouring buckets."""
-    check_frequency(freq)
-    return F.expr(FREQUENCIES[freq][1])
+    unit, n = _parsed(freq)
+    if unit in MONTHS:
+        return F.expr(f"INTERVAL '{MONTHS[unit][1]}' MONTH")
+    return F.expr(f"INTERVAL '{7 * DAY if unit == 'W' else SECONDS[unit] * n}' SECOND")
 
 
 def calendar_key(t: Column, unit: str) -> Column:

@@ -81,6 +81,8 @@ def typed(dtype: T.DataType, value: Any) -> Column:
         value = value.item()
     if isinstance(dtype, INTEGER_TYPES) and isinstance(value, float) and value.is_integer():
         value = int(value)
+    if isinstance(dtype, T.FloatType) and isinstance(value, (int, float)):
+        return F.lit(value).cast(dtype)  # 0.1 as a 32-bit label is not 0.1 as a double
     return F.lit(value)
 
 

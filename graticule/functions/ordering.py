@@ -12,7 +12,7 @@ from graticule.functions.columns import col, type_of
 from graticule.session import materialize
 
 
-def _sortable(df: DataFrame, name: str) -> bool:
+def sortable(df: DataFrame, name: str) -> bool:
     return not isinstance(type_of(df, name), (T.MapType, T.VariantType))
 
 
@@ -24,7 +24,7 @@ def global_index(df: DataFrame, order: Sequence[str]) -> DataFrame:
     The sorted frame is written out once: range boundaries are sampled, and both
     readers below must see the same ones.
     """
-    rest = [c for c in df.columns if c not in order and _sortable(df, c)]
+    rest = [c for c in df.columns if c not in order and sortable(df, c)]
     keys = [col(c) for c in order] + [col(c) for c in rest] + [F.col("_in")]
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = (

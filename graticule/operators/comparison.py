@@ -116,7 +116,8 @@ def cross_variable(
 
     Every pair of rows with equal coordinates counts, but none is built: each
     side shrinks to a few sums per coordinate tuple before the join, so repeated
-    coordinates (or one that holds much of the data) cost nothing extra. Two
+    coordinates (or one that holds much of the data) cost nothing extra; more
+    points than a 64-bit number holds give NULL points and still a correlation. Two
     variables of one frame (``b`` left out) need one scan and no join.
     """
     if b is None and (var_a is None or var_b is None):
@@ -143,8 +144,8 @@ def cross_variable(
         right = b.withColumn("_mean_b", b.agg(mean_b).scalar()).groupBy(*keys).agg(*sums_b)
         pairs = left.join(right, shared)
     totals = pairs.agg(
-        F.coalesce(F.sum(F.col("rows_a") * F.col("rows_b")), F.lit(0)).alias("points"),
-        F.sum(F.col("n_a") * F.col("n_b")).cast("double").alias("n"),
+        F.expr("coalesce(sum(cast(rows_a AS decimal(19, 0)) * cast(rows_b AS decimal(19, 0))), 0)").alias("points"),
+        F.sum(F.col("n_a").cast("double") * F.col("n_b")).alias("n"),
         F.sum(F.col("s_a") * F.col("n_b")).alias("sa"),
         F.sum(F.col("s_b") * F.col("n_a")).alias("sb"),
         F.sum(F.col("q_a") * F.col("n_b")).alias("qa"),
@@ -157,7 +158,7 @@ def cross_variable(
     together = F.col("ab") * n - F.col("sa") * F.col("sb")
     return totals.select(
         F.lit(",".join(shared)).alias("shared_coords"),
-        "points",
+        F.expr("try_cast(points AS bigint)").alias("points"),
         F.try_divide(together, F.sqrt(spread_a) * F.sqrt(spread_b)).alias("correlation"),
     )
 

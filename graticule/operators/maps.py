@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from graticule.functions.bins import AxisStats, Binning
 from graticule.functions.columns import col
 
-# Widest matrix laid out as columns; wider ones become one array per row.
-PIVOT_LIMIT = 1_000
-
 
 def map_mean(
     df: DataFrame,
@@ -82,15 +79,14 @@ def to_matrix(
     column: str,
     value: str,
     values: Sequence | None = None,
-    limit: int = PIVOT_LIMIT,
 ) -> DataFrame:
     """Long table to matrix, duplicates averaged.
 
-    With the column labels given (from the axes table) and not too many of them,
-    each becomes a column. Otherwise each row holds one array sorted by label;
-    its length is that of the column axis, duplicates being averaged before.
+    With the column labels given each becomes a column, however many they are.
+    Without, each row holds one array sorted by label; its length is that of the
+    column axis, duplicates being averaged before.
     """
-    if values is not None and len(values) <= limit:
+    if values is not None:
         return df.groupBy(col(row)).pivot(column, list(values)).agg(F.avg(col(value)))
     cells = df.groupBy(col(row), col(column)).agg(F.avg(col(value)).alias("value"))
     return cells.groupBy(col(row)).agg(

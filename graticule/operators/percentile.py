@@ -94,20 +94,36 @@ def _in_memory(df: DataFrame, keys: list[str], values: list[str], ps: list[float
 
 def _refined(rows: DataFrame, var: str, ps: list[float], max_rows: int) -> DataFrame:
     """Percentiles of large groups by narrowing each wanted rank to one small interval."""
-    x = rows.select("_key", col(var).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    every = rows.select("_key", col(var).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    endless = F.abs("x") == F.lit(float("inf"))
+    finite = F.when(~endless & ~F.isnan("x"), F.col("x"))
     totals = cut_lineage(
-        x.groupBy("_key").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        every.groupBy("_key").agg(
+            F.count(F.lit(1)).alias("n"), F.min(finite).alias("lo"), F.max(finite).alias("hi"),
+            F.count(finite).alias("_finite"), F.count(F.when(F.col("x") == F.lit(float("-inf")), 1)).alias("_low"),
+        )
     )
+    # infinite values have known ranks; only finite ones are narrowed
+    x = every.filter(finite.isNotNull())
     wanted = totals.select(
-        "_key", "n", "lo", "hi", F.posexplode(F.array(*[F.lit(p) for p in ps])).alias("i", "p")
+        "_key", "n", "lo", "hi", "_finite", "_low", F.posexplode(F.array(*[F.lit(p) for p in ps])).alias("i", "p")
     ).withColumn("at", F.col("p") * (F.col("n") - 1))
     ranks = (
         wanted.select(
-            "_key", "lo", "hi", "n",
+            "_key", "lo", "hi", "_finite", "_low",
             F.explode(F.array(F.floor("at"), F.ceil("at"))).alias("rank"),
         )
         .distinct()
-        .select("_key", "rank", "lo", "hi", F.lit(0).cast("bigint").alias("below"), F.col("n").alias("inside"))
+        .withColumn(
+            "_end",
+            F.when(F.col("rank") < F.col("_low"), F.lit(float("-inf"))).when(
+                F.col("rank") >= F.col("_low") + F.col("_finite"), F.lit(float("inf"))
+            ),
+        )
+        .select(
+            "_key", "rank", F.coalesce("_end", "lo").alias("lo"), F.coalesce("_end", "hi").alias("hi"),
+            F.col("_low").alias("below"), F.col("_finite").alias("inside"),
+        )
     )
     ranks = cut_lineage(ranks)
     unsettled = (F.col("lo") < F.col("hi")) & (F.col("inside") > max_rows)
@@ -135,7 +151,7 @@ def _refined(rows: DataFrame, var: str, ps: list[float], max_rows: int) -> DataF
         .withColumn("r1", F.ceil("at"))
         .join(low, ["_key", "r0"])
         .join(high, ["_key", "r1"])
-        .withColumn("value", F.col("v0") * (1 - part) + F.col("v1") * part)
+        .withColumn("value", F.when(part == 0, F.col("v0")).otherwise(F.col("v0") * (1 - part) + F.col("v1") * part))
         .groupBy("_key")
         # one entry per wanted percentile
         .agg(F.sort_array(F.collect_list(F.struct("i", "value"))).alias("_list"))
@@ -153,7 +169,8 @@ def _rows_inside(x: DataFrame, ranks: DataFrame) -> DataFrame:
 
 def _narrow(x: DataFrame, ranks: DataFrame) -> DataFrame:
     """Replace each rank's interval by the ends of the bin that holds the rank."""
-    position = (F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * REFINE_BINS
+    # halves, so that the width of the widest interval is finite, too
+    position = (F.col("x") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2) * REFINE_BINS
     bins = (
         _rows_inside(x, ranks)
         .withColumn("bin", F.least(F.floor(position), F.lit(REFINE_BINS - 1)))

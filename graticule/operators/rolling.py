@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from graticule.functions.aggregates import check_method, reducer
 from graticule.functions.columns import col, require
-from graticule.functions.ordering import global_index
+from graticule.functions.ordering import global_index, sortable
 from graticule.functions.sizing import GROUP_ROWS, largest_group
 
 ROLLING_METHODS = ("mean", "sum", "std", "min", "max", "median")
@@ -54,9 +54,11 @@ def rolling(
         return F.when(filled >= min_periods, F.coalesce(value, F.lit(0)) if method == "sum" else value)
 
     if max_group_rows is None or largest_group(df, groups) <= max_group_rows:
+        # rows of equal order go by their other columns, as in the blocks below
+        rest = [c for c in df.columns if c not in (*groups, *order) and sortable(df, c)]
         frame = (
             Window.partitionBy(*[col(g) for g in groups])
-            .orderBy(*[col(o) for o in order])
+            .orderBy(*[col(o) for o in [*order, *rest]])
             .rowsBetween(-behind, ahead)
         )
         return df.withColumn(out, statistic(frame))

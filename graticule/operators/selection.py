@@ -118,9 +118,10 @@ def filter_ranges(df: DataFrame, ranges: Mapping[str, tuple[Any, Any]]) -> DataF
     return df
 
 
-def time_steps(df: DataFrame, n: int = 200, time: str = "time") -> DataFrame:
-    """The first n distinct time steps in order."""
-    return df.select(col(time)).distinct().orderBy(time).limit(n)
+def time_steps(df: DataFrame, n: int | None = None, time: str = "time") -> DataFrame:
+    """The distinct time steps in order, or the first n of them."""
+    steps = df.select(col(time)).distinct().orderBy(time)
+    return steps if n is None else steps.limit(n)
 
 
 def frame_at(

@@ -19,6 +19,8 @@ from graticule.functions.calendar import (
     calendar_key,
     check_frequency,
     days,
+    label,
+    needs_origin,
     step,
 )
 from graticule.functions.columns import col, not_null, numeric_columns, require
@@ -40,7 +42,8 @@ def resample(
 ) -> DataFrame:
     """Resample every numeric column; empty buckets between first and last appear.
 
-    With ``group_cols`` each group spans its own first to last bucket.
+    With ``group_cols`` each group spans its own first to last bucket. Buckets that do not
+    divide a day (2D, 7h) count from midnight of the first day of all rows.
     """
     if time not in df.columns:
         return df
@@ -53,12 +56,18 @@ def resample(
     df, values = _booleans_as_numbers(df, list(values), method)
     t = as_time(df, time)
     rows = df.filter(not_null([time, *groups]))
-    bucketed = rows.select(*[col(g) for g in groups], bucket(t, freq).alias(time), *[col(v) for v in values])
+    origin = rows.agg(F.min(t)).scalar() if needs_origin(freq) else None
+    start = bucket(t, freq, origin)
+    bucketed = rows.select(*[col(g) for g in groups], start.alias(time), *[col(v) for v in values])
     out = grouped(bucketed, [*groups, time], values, method)
-    if not fill_gaps:
-        return out
-    empty = F.lit(0) if method in _EMPTY_BUCKET_ZERO else F.lit(None)
-    return _fill_between(out, time, freq, groups, values, empty)
+    if fill_gaps:
+        empty = F.lit(0) if method in _EMPTY_BUCKET_ZERO else F.lit(None)
+        out = _fill_between(out, time, freq, groups, values, empty)
+    return _labelled(out, time, freq)
+
+
+def _labelled(out: DataFrame, time: str, freq: str) -> DataFrame:
+    return out.select(*[label(col(c), freq).alias(c) if c == time else col(c) for c in out.columns])
 
 
 def _fill_between(
@@ -106,15 +115,19 @@ def grid_resample(
     cell = [d for d in dims if d not in (time, var)]
     t = as_time(df, time)
     rows = df.filter(not_null([time, *cell]))
-    bucketed = rows.select(*[col(c) for c in cell], bucket(t, freq).alias(time), col(var))
+    # buckets that do not divide a day count from the first day of the whole dataset
+    origin = df.agg(F.min(t)).scalar() if needs_origin(freq) else None
+    bucketed = rows.select(*[col(c) for c in cell], bucket(t, freq, origin).alias(time), col(var))
     out = grouped(bucketed, [*cell, time], [var], method, ddof=0)
     # the time axis is that of the whole dataset; this reads one column
-    span = df.agg(F.struct(bucket(F.min(t), freq).alias("a"), bucket(F.max(t), freq).alias("b"))).scalar()
+    ends = df.agg(F.min(t).alias("a"), F.max(t).alias("b"))
+    day = F.col("a") if needs_origin(freq) else None
+    span = ends.select(F.struct(bucket(F.col("a"), freq, day).alias("a"), bucket(F.col("b"), freq, day).alias("b"))).scalar()
     if not cell:
         ends = out.agg(F.min(time).alias("a"), F.max(time).alias("b"))
         spine = ends.select(F.explode(F.sequence("a", "b", step(freq))).alias(time))
-        return spine.join(out, time, "left").select(time, var)
-    return _fill_between(out, time, freq, cell, [var], F.lit(None), span)
+        return _labelled(spine.join(out, time, "left").select(time, var), time, freq)
+    return _labelled(_fill_between(out, time, freq, cell, [var], F.lit(None), span), time, freq)
 
 
 def _baseline(df: DataFrame, var: str, groupby: str | None, time: str, out: str, combine) -> DataFrame:

@@ -29,7 +29,6 @@ from graticule.plans.compose import ResultCache
 from graticule.session import configure
 from graticule.sources.chunks import axis_of, flatten_chunks
 
-ENUM_LIMIT = 1_000
 
 # Function names users bring along and their Spark names.
 SQL_NAMES = {"approx_percentile_cont": "approx_percentile"}
@@ -75,7 +74,7 @@ class Grid:
         if isinstance(axes, DataFrame):
             axes = {d: axis_of(axes, d, _label_column(df, d)) for d in found}
         self.axes = dict(axes or {})
-        self._derived: set[str] = set()
+        self._derived: dict[str, DataFrame] = {}
         self._stats: dict[str, AxisStats] = {}
         self._cache = ResultCache()
 
@@ -102,9 +101,11 @@ class Grid:
         return selection.select_variables(self.df, [name], self.dims)
 
     def register(self) -> "Grid":
-        """One temp view per variable."""
+        """One temp view per variable and derived table of this dataset."""
         for v in self.variables:
             self.variable(v).createOrReplaceTempView(v)
+        for name, derived in self._derived.items():
+            derived.createOrReplaceTempView(name)
         return self
 
     def tables(self) -> list[str]:
@@ -123,7 +124,7 @@ class Grid:
         if found in self.variables:
             return self.variable(found)
         if found in self._derived:
-            return self.spark.table(found)
+            return self._derived[found]
         raise ValueError(f"Table {name!r} not found. Available: {self.tables()}")
 
     def sql(self, query: str, args: Mapping[str, Any] | Sequence[Any] | None = None) -> DataFrame:
@@ -133,11 +134,9 @@ class Grid:
         return self.spark.sql(query, args=args) if args else self.spark.sql(query)
 
     def define(self, name: str, query: str, args: Mapping[str, Any] | Sequence[Any] | None = None) -> DataFrame:
-        """Add a derived table sharing the views."""
-        derived = self.sql(query, args)
-        derived.createOrReplaceTempView(name)
-        self._derived.add(name)
-        return derived
+        """Add a derived table sharing the views; it belongs to this dataset alone."""
+        self._derived[name] = self.sql(query, args)
+        return self._derived[name]
 
     def get(self, table: str, drop_missing: bool = False, **query: Any) -> DataFrame:
         """A table filtered by keywords; optionally without missing cells."""
@@ -216,10 +215,8 @@ class Grid:
         return float(first[1]["label"] - first[0]["label"]) if len(first) > 1 else None
 
     def _enum(self, name: str) -> dict[str, Any]:
-        """Sorted distinct values for display; says so when there are too many to list."""
-        values = profiling.schema_enums(self.df, [name]).select("value")
-        listed = [r[0] for r in values.limit(ENUM_LIMIT + 1).collect()]
-        return {"values": listed[:ENUM_LIMIT], "truncated": len(listed) > ENUM_LIMIT}
+        """All sorted distinct values as a frame: nothing is fetched, nothing cut."""
+        return {"values": profiling.schema_enums(self.df, [name]).select("value")}
 
     def schema(self, table: str, limit: int | None = None, shuffle: bool = False) -> dict[str, Any]:
         """Type, range or values per column and the row count under ``__len__``.
@@ -239,39 +236,32 @@ class Grid:
             elif is_time(dtype):
                 entry |= {"inclusiveMinimum": str(row["min_time"]), "inclusiveMaximum": str(row["max_time"])}
             elif entry["type"] in ("string", "boolean"):
-                values = profiling.schema_enums(df, [row["column"]]).select("value")
-                listed = [r[0] for r in values.limit(ENUM_LIMIT + 1).collect()]
-                entry |= {"enum": listed[:ENUM_LIMIT], "enum_truncated": len(listed) > ENUM_LIMIT}
+                entry["enum"] = profiling.schema_enums(df, [row["column"]]).select("value")
             out[row["column"]] = entry
             out["__len__"] = row["rows"] if total is None else total
         return out
 
     def metadata(self, var: str) -> dict[str, Any]:
         """Description, columns, dimensions, shape and attributes of a variable's table."""
-        info = self.dimension_info()
-        columns: dict[str, Any] = {}
-        for d in self.dims:
-            attrs = self.df.schema[d].metadata or {}
-            entry = {"data_type": info[d]["dtype"], "is_coordinate": True, "is_dimension": True}
-            entry |= _described(attrs)
-            if "min" in info[d]:
-                entry |= {"min": str(info[d]["min"]), "max": str(info[d]["max"]), "size": info[d]["size"]}
-            columns[d] = entry
-        field = self.df.schema[var]
-        attrs = field.metadata or {}
-        columns[var] = {"data_type": field.dataType.simpleString(), "is_coordinate": False} | _described(attrs)
-        description = attrs.get("long_name", var)
-        if "units" in attrs:
-            description += f" [{attrs['units']}]"
-        shape = " x ".join(f"{d}({info[d]['size']})" for d in self.dims)
+        table = {r["column"]: r.asDict() for r in profiling.table_metadata(self.variable(var), self.dims).collect()}
+        sizes = [table[d].get("size") for d in self.dims]
+        about, units = table[var]["description"] or var, table[var]["units"]
+        extent = " x ".join(map("{}({})".format, self.dims, sizes))
         return {
-            "description": f"{description} — dimensions: {shape}",
-            "columns": columns,
+            "description": f"{about}{f' [{units}]' if units else ''} — dimensions: {extent}",
+            "columns": {name: self._column_entry(row) for name, row in table.items()},
             "dimensions": list(self.dims),
-            "shape": [info[d]["size"] for d in self.dims],
+            "shape": sizes,
             "dataset_attrs": dict(self.attrs),
         }
 
+    def _column_entry(self, row: dict[str, Any]) -> dict[str, Any]:
+        """A row of the metadata table under the interface's names, without what is unknown."""
+        # fixed names of the interface
+        entry = {"data_type": row["data_type"], "is_coordinate": row["is_coordinate"], "is_dimension": row["is_coordinate"] or None}
+        entry |= {k: row.get(k) for k in ("units", "description", "min", "max", "size")}
+        return {k: v for k, v in entry.items() if v is not None}
+
     def estimate_size(self, var: str) -> dict[str, Any]:
         return profiling.estimate_size(self.variable(var)).first().asDict()
 
@@ -281,15 +271,6 @@ def _label_column(df: DataFrame, dim: str) -> str:
     return "coord_ts" if is_time(dtype) else "coord_num" if is_numeric(dtype) else "coord_str"
 
 
-def _described(attrs: Mapping[str, Any]) -> dict[str, Any]:
-    out = {}
-    if "units" in attrs:
-        out["units"] = attrs["units"]
-    if "long_name" in attrs:
-        out["description"] = attrs["long_name"]
-    return out
-
-
 def sel(grid: Grid, method: str | None = None, **labels: Any) -> DataFrame:
     """Select by label: a scalar drops its dimension, a list or slice keeps it.
 

@@ -52,7 +52,7 @@ def scratch_dir(spark: SparkSession) -> str:
     machine-local folder would be lost with its executor.
     """
     sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
@@ -67,6 +67,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(scratch_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+def _remove_at_end(spark: SparkSession, path: str) -> None:
+    """Have a written folder removed when the application ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: small iteration state survives executor loss."""
     scratch_dir(df.sparkSession)
@@ -77,4 +83,5 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the scratch folder and read it back (columnar, prunable)."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    _remove_at_end(df.sparkSession, path)
     return df.sparkSession.read.parquet(path)

@@ -30,9 +30,10 @@ def flatten_chunks(
 ) -> DataFrame:
     """One row per cell with coordinate columns from chunk rows.
 
-    ``chunks`` has origin array<int>, shape array<int> and values array in
+    ``chunks`` has origin and shape (arrays of integers) and values array in
     row-major order; ``axes`` maps a dimension to (idx, label) rows. A dimension
-    without an axis keeps its position.
+    without an axis keeps its position; a position the axis has no label for
+    gives NULL and keeps its cell.
 
     Labels of short axes are looked up by a broadcast join. A long axis is joined
     to the chunks before they are flattened: each chunk receives only the labels
@@ -51,13 +52,13 @@ def flatten_chunks(
     for i, dim in enumerate(dims):
         local = _offset(i, len(dims))
         if dim in long:
-            flat = flat.withColumn(f"_c{i}", F.col(f"_labels_{i}")[local])
+            flat = flat.withColumn(f"_c{i}", F.get(f"_labels_{i}", local.cast("int")))
         else:
-            flat = flat.withColumn(f"_c{i}", (local + F.col("origin")[i]).cast("bigint"))
+            flat = flat.withColumn(f"_c{i}", local + F.col("origin")[i].cast("bigint"))
     for i, dim in enumerate(dims):
         if dim in short:
             labels = short[dim].select(F.col("idx").cast("bigint").alias(f"_c{i}"), F.col("label").alias(f"_l{i}"))
-            flat = flat.join(F.broadcast(labels), f"_c{i}")
+            flat = flat.join(F.broadcast(labels), f"_c{i}", "left")
     value = F.col("_value").cast("double")
     return flat.select(
         *[F.col(f"_l{i}" if d in short else f"_c{i}").alias(d) for i, d in enumerate(dims)],
@@ -67,10 +68,10 @@ def flatten_chunks(
 
 def _offset(i: int, n: int) -> Column:
     """Position along dimension i inside its chunk."""
-    stride = F.lit(1)
+    stride = F.lit(1).cast("bigint")
     for j in range(i + 1, n):
         stride = stride * F.col("shape")[j]
-    return (F.floor(F.col("_pos") / stride) % F.col("shape")[i]).cast("int")
+    return (F.floor(F.col("_pos") / stride) % F.col("shape")[i]).cast("bigint")
 
 
 def _with_slice(chunks: DataFrame, axis: DataFrame, i: int, name: str) -> DataFrame:
@@ -82,7 +83,7 @@ def _with_slice(chunks: DataFrame, axis: DataFrame, i: int, name: str) -> DataFr
     ranges = chunks.select(lo.alias("_lo"), size.alias("_size")).distinct()
     labelled = (
         ranges.withColumn("_idx", F.explode(F.sequence(F.col("_lo"), F.col("_lo") + F.col("_size") - 1)))
-        .join(axis.select(F.col("idx").cast("bigint").alias("_idx"), "label"), "_idx")
+        .join(axis.select(F.col("idx").cast("bigint").alias("_idx"), "label"), "_idx", "left")
         .groupBy("_lo", "_size")
         # no longer than the chunk's own extent along this dimension
         .agg(F.sort_array(F.collect_list(F.struct("_idx", "label"))).alias("_s"))

@@ -76,3 +76,21 @@ def test_compare_grids_renames_coordinates(spark):
     b = frame(spark, pd.DataFrame({"y": [1.0, 2.0], "x": [0.0, 0.0], "v": [5.0, 4.0]}))
     got = g.compare_grids(a, b, "v", b_lat="y", b_lon="x").collect()
     assert len(got) == 1 and got[0].difference == 3.0
+
+
+def test_cross_variable_beyond_64_bits(spark, monkeypatch):
+    """Sums of 4e9 rows per side at one coordinate, fed to the last step."""
+    from pyspark.sql import functions as F
+
+    from graticule.operators import comparison
+
+    plain = comparison._pair_sums
+
+    def weighty(var, mean, side):
+        return [(c * F.lit(4_000_000_000)).alias(f"{n}_{side}") for c, n in zip(plain(var, mean, side), ("rows", "n", "s", "q"))]
+
+    monkeypatch.setattr(comparison, "_pair_sums", weighty)
+    a = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, 4.0)], "lat int, a double")
+    b = spark.createDataFrame([(1, 2.0), (2, 4.0), (3, 8.0)], "lat int, b double")
+    got = g.cross_variable(a, b).first()
+    assert got["points"] is None and abs(got["correlation"] - 1) < 1e-9

@@ -70,4 +70,4 @@ def test_transect_over_an_axis_of_one_label_or_none(spark, uneven, limit):
 
 def test_transect_bounds(spark, uneven):
     with pytest.raises(ValueError):
-        g.transect(frame(spark, uneven[3]), "v", (0, 0), (1, 1), 5)
+        g.transect(frame(spark, uneven[3]), "v", (0, 0), (1, 1), 1)

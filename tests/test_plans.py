@@ -59,7 +59,7 @@ def test_few_group_fits_are_broadcast(stored):
 
 def test_top_k_and_time_steps_do_not_sort_everything(stored):
     assert "TakeOrderedAndProject" in plan(g.top_k(stored, "air", 5))
-    assert "TakeOrderedAndProject" in plan(g.time_steps(stored))
+    assert "TakeOrderedAndProject" in plan(g.time_steps(stored, 200))
     assert "TakeOrderedAndProject" in plan(g.sample_n(stored, 5, ["time", "lat", "lon"]))
 
 

@@ -141,3 +141,20 @@ def test_compare_means_needs_something_shared(sample, synthetic):
 def test_zone_names(sample):
     zones = {r.zone for r in g.zone_stats(sample, "air").collect()}
     assert zones == {"Tropical (15-20N)", "Subtropical (20-40N)", "Mid-latitude (40-60N)"}
+
+
+@pytest.mark.parametrize("limit", [None, 5])
+def test_percentiles_with_infinite_values(spark, limit):
+    values = [float("-inf")] * 3 + [float(i) for i in range(40)] + [1e308, -1e308] + [float("inf")] * 6
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = g.percentiles(df, "v", (0.0, 0.04, 0.5, 0.9, 1.0), max_group_rows=limit).first()
+    want = sorted(values)
+    assert [got[0], got[2], got[3], got[4]] == [want[0], want[25], want[45], want[-1]]
+
+
+def test_kde_of_skewed_values(spark):
+    x = np.exp(2 * np.random.default_rng(3).standard_normal(3000))
+    got = rows(g.kde(spark.createDataFrame(pd.DataFrame({"v": x})), "v", 200), "point")
+    h = x.std(ddof=1) * len(x) ** -0.2
+    want = np.exp(-0.5 * ((got["x"].to_numpy()[:, None] - x) / h) ** 2).sum(1) / (len(x) * h * np.sqrt(2 * np.pi))
+    np.testing.assert_allclose(got["density"], want, rtol=1e-8, atol=1e-10 * want.max())

@@ -102,3 +102,19 @@ def test_time_steps(sample):
 def test_top_k_skips_missing(spark):
     df = frame(spark, pd.DataFrame({"k": [1, 2, 3], "v": [None, 5.0, 7.0]}))
     assert [r.v for r in g.top_k(df, "v", 2, desc=False).collect()] == [5.0, 7.0]
+
+
+def test_labels_of_32_bits(spark):
+    """0.1 as a float is another number than 0.1 as a double."""
+    df = spark.range(10).selectExpr("CAST(id / 10 AS FLOAT) AS lat", "id AS v", "5.0 AS lon")
+    assert g.get(df, lat=0.1).count() == 1
+    assert g.get(df, lat=[0.1, 0.3, 0.7]).count() == 3
+    assert g.dim_slice(df, "lat", 0.1, 0.3).count() == 3
+    assert g.dim_slice(df, "lat", values=[0.6, 0.9]).count() == 2
+    assert g.bbox(df, lat_min=0.2, lat_max=0.7).count() == 6
+    assert g.sel(g.Grid(df, dims=["lat", "lon"]), lat=0.7).collect()[0]["v"] == 7
+
+
+def test_all_time_steps(spark):
+    df = spark.range(450).selectExpr("id % 300 AS time")
+    assert [r.time for r in g.time_steps(df).collect()] == list(range(300))

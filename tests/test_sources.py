@@ -118,3 +118,16 @@ def test_matrix_forms_agree(sample, sample_pdf):
 
 def test_scratch_folder_is_stable_within_a_session(spark):
     assert scratch_dir(spark) == scratch_dir(spark)
+
+
+@pytest.mark.parametrize("limit", [100, 0])
+def test_positions_without_a_label_keep_their_cells(spark, limit):
+    chunks = spark.createDataFrame([([0], [4], [1.0, 2.0, 3.0, 4.0])], "origin array<bigint>, shape array<bigint>, values array<double>")
+    axis = spark.createDataFrame([(0, 10.0), (1, 20.0), (3, 40.0)], "idx int, label double")
+    got = rows(g.flatten_chunks(chunks, {"lat": axis}, ["lat"], "v", limit), "v")
+    assert got["lat"].fillna(-1).tolist() == [10.0, 20.0, -1.0, 40.0]
+
+
+def test_long_axes(spark):
+    chunks = spark.createDataFrame([([2**31 + 5], [2], [1.0, 2.0])], "origin array<bigint>, shape array<int>, values array<double>")
+    assert rows(g.flatten_chunks(chunks, {}, ["x"], "v"), "v")["x"].tolist() == [2**31 + 5, 2**31 + 6]

@@ -229,3 +229,27 @@ def test_peak_period(spark):
     t = pd.date_range("2020-01-01", periods=100)
     pdf = pd.DataFrame({"time": t, "v": np.sin(2 * np.pi * np.arange(100) / 20)})
     assert g.peak_period(g.spectrum(frame(spark, pdf), "v")).first()[0] == pytest.approx(20.0)
+
+
+@pytest.mark.parametrize("freq", ["6h", "2D", "5D", "30min", "7h", "ME", "QE", "YE", "W-MON", "W-WED", "W-SUN"])
+@pytest.mark.parametrize("method", ["mean", "sum"])
+def test_resample_further_frequencies(spark, uneven_pdf, freq, method):
+    got = rows(g.resample(frame(spark, uneven_pdf), "time", freq, method), "time")
+    want = uneven_pdf.resample(freq, on="time")[["v", "n"]].agg(method).reset_index()
+    assert got["time"].tolist() == want["time"].tolist()
+    for c in ("v", "n"):
+        np.testing.assert_allclose(got[c].astype(float), want[c].astype(float))
+
+
+def test_grid_resample_counts_from_the_first_day_of_all(spark):
+    pdf = pd.DataFrame({"time": pd.to_datetime(["2020-01-02 06:00", "2020-01-05 00:00", "2020-01-09 00:00"]), "lat": [1.0, 2.0, 1.0], "v": [1.0, 2.0, 3.0]})
+    got = rows(g.grid_resample(frame(spark, pdf), "v", "5D", "sum", dims=["time", "lat"]), "lat", "time")
+    assert got["time"].tolist() == [pd.Timestamp("2020-01-02"), pd.Timestamp("2020-01-07")] * 2
+    assert got["v"].fillna(-1).tolist() == [1.0, 3.0, 2.0, -1]
+
+
+def test_rolling_ties_are_decided_alike(spark):
+    pdf = pd.DataFrame({"time": [1, 1, 1, 2, 2, 3] * 5, "v": [float(i * 7 % 30) for i in range(30)]})
+    df = spark.createDataFrame(pdf).repartition(5)
+    short, long = (rows(g.rolling(df, "v", 4, "sum", max_group_rows=n), "time", "v") for n in (None, 5))
+    assert short["v_rolling_sum"].tolist() == long["v_rolling_sum"].tolist()
