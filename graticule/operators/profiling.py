@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graticule.functions.calendar import NTZ
 from graticule.functions.columns import col, is_numeric, is_time, type_of
+from graticule.functions.ordering import global_index
 from graticule.model import column_roles, coordinate_kind
 
 MAX_ROWS_WARNING = 10_000_000
@@ -99,11 +100,10 @@ def axes_table(df: DataFrame, dims: Sequence[str] | None = None) -> DataFrame:
 
     def one(dim: str) -> DataFrame:
         labels = df.select(col(dim).alias("label")).filter(F.col("label").isNotNull()).distinct()
-        position = F.row_number().over(Window.partitionBy("dim").orderBy("label")) - 1
         name, _ = kinds[coordinate_kind(type_of(df, dim))]
-        return labels.select(F.lit(dim).alias("dim"), "label").select(
-            "dim",
-            position.alias("idx"),
+        return global_index(labels, ["label"]).select(
+            F.lit(dim).alias("dim"),
+            F.col("_row").cast("int").alias("idx"),
             *[(F.col("label") if n == name else F.lit(None)).cast(t).alias(n) for n, t in kinds.values()],
         )
 

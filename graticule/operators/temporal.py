@@ -229,13 +229,13 @@ def trend(
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _solve(powers: pd.Series, moments: pd.Series) -> pd.Series:
-    """Coefficients of the normal equations, one small system per fitted group."""
-    solved = []
-    for p, m in zip(powers, moments):
-        if p is None or m is None or any(x is None for x in p):
-            solved.append(None)
-            continue
-        k = len(m)
-        matrix = np.array([[p[i + j] for j in range(k)] for i in range(k)], dtype=float)
-        solved.append(np.linalg.pinv(matrix, hermitian=True) @ np.asarray(m, dtype=float))
+    """Coefficients of the normal equations, all small systems of a batch at once."""
+    found = np.array([p is not None and m is not None and all(x is not None for x in p) for p, m in zip(powers, moments)], dtype=bool)
+    solved = [None] * len(powers)
+    if found.any():
+        p, m = (np.stack([np.asarray(x, dtype=float) for x in s[found]]) for s in (powers, moments))
+        place = np.arange(m.shape[1])
+        inverse = np.linalg.pinv(p[:, place[:, None] + place], hermitian=True)
+        for at, coefficients in zip(np.flatnonzero(found), np.einsum("gij,gj->gi", inverse, m)):
+            solved[at] = coefficients
     return pd.Series(solved)

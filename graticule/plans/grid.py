@@ -218,11 +218,13 @@ class Grid:
         """All sorted distinct values as a frame: nothing is fetched, nothing cut."""
         return {"values": profiling.schema_enums(self.df, [name]).select("value")}
 
-    def schema(self, table: str, limit: int | None = None, shuffle: bool = False) -> dict[str, Any]:
-        """Type, range or values per column and the row count under ``__len__``.
+    def schema(self, table: str | None = None, limit: int | None = None, shuffle: bool = False) -> dict[str, Any]:
+        """Type, range or values per column and the row count under ``__len__``; without a table, that of each.
 
         With a limit, ranges come from that many rows; the count is always the whole.
         """
+        if table is None:
+            return {t: self.schema(t, limit, shuffle) for t in self.tables()}
         df = self.table(table)
         total = df.count() if limit is not None else None
         out: dict[str, Any] = {}
@@ -241,8 +243,10 @@ class Grid:
             out["__len__"] = row["rows"] if total is None else total
         return out
 
-    def metadata(self, var: str) -> dict[str, Any]:
-        """Description, columns, dimensions, shape and attributes of a variable's table."""
+    def metadata(self, var: str | None = None) -> dict[str, Any]:
+        """Description, columns, dimensions, shape and attributes of a variable's table; without one, of each."""
+        if var is None:
+            return {v: self.metadata(v) for v in sorted(self.variables)}
         table = {r["column"]: r.asDict() for r in profiling.table_metadata(self.variable(var), self.dims).collect()}
         sizes = [table[d].get("size") for d in self.dims]
         about, units = table[var]["description"] or var, table[var]["units"]
@@ -262,7 +266,10 @@ class Grid:
         entry |= {k: row.get(k) for k in ("units", "description", "min", "max", "size")}
         return {k: v for k, v in entry.items() if v is not None}
 
-    def estimate_size(self, var: str) -> dict[str, Any]:
+    def estimate_size(self, var: str | None = None) -> dict[str, Any]:
+        """Rows, columns and bytes of a variable's table; without one, of each."""
+        if var is None:
+            return {v: self.estimate_size(v) for v in sorted(self.variables)}
         return profiling.estimate_size(self.variable(var)).first().asDict()
 
 

@@ -26,7 +26,7 @@ ISO_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 def extension(path: str) -> str:
     name = os.path.basename(path.rstrip("/"))
-    return name.rsplit(".", 1)[-1].lower() if "." in name else "csv"
+    return name.rsplit(".", 1)[-1].lower() if "." in name else ""
 
 
 def read_table(
@@ -41,6 +41,8 @@ def read_table(
     """
     paths = [path] if isinstance(path, str) else list(path)
     ext = fmt or extension(paths[0])
+    if not ext:
+        raise ValueError(f"Name the format of {paths[0]}, which has no extension. Known: {sorted(FORMATS)}")
     reader = spark.read if schema is None else spark.read.schema(schema)
     kind = FORMATS.get(ext, "csv")
     if kind == "parquet":

@@ -218,3 +218,11 @@ def test_schema_of_a_sample_keeps_the_whole_count(data):
 
 def test_coordinate_metadata(synthetic):
     assert g.coordinate_metadata(synthetic) == {"time": {}, "lat": {"units": "degrees_north"}, "lon": {"units": "degrees_east"}}
+
+
+def test_whole_dataset_forms(data):
+    names = ["pressure", "temperature"]
+    assert list(data.metadata()) == list(data.estimate_size()) == names
+    assert list(data.schema()) == data.tables() and data.schema()["pressure"]["__len__"] == 200
+    assert data.estimate_size()["pressure"] == data.estimate_size("pressure")
+    assert data.metadata()["temperature"] == data.metadata("temperature")

@@ -253,3 +253,12 @@ def test_rolling_ties_are_decided_alike(spark):
     df = spark.createDataFrame(pdf).repartition(5)
     short, long = (rows(g.rolling(df, "v", 4, "sum", max_group_rows=n), "time", "v") for n in (None, 5))
     assert short["v_rolling_sum"].tolist() == long["v_rolling_sum"].tolist()
+
+
+def test_trend_by_group_of_degree_two(spark):
+    t = pd.date_range("2020-01-01", periods=30, freq="D")
+    pdf = pd.concat([pd.DataFrame({"time": t, "k": k, "v": a + 0.5 * np.arange(30) + b * np.arange(30) ** 2}) for k, a, b in (("x", 1.0, 0.1), ("y", 9.0, -0.2))])
+    pdf = pd.concat([pdf, pd.DataFrame({"time": t[:2], "k": "z", "v": np.nan})])
+    got = rows(g.trend(frame(spark, pdf), "v", 2, by=["k"]), "k", "time")
+    full = got[got["k"] != "z"]
+    np.testing.assert_allclose(full["v_trend"].astype(float), full["v"].astype(float), rtol=1e-6)
