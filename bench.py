@@ -38,6 +38,7 @@ def headline(spark, sf):
         ),
         "f5_bbox_profile": lambda: g.profile(g.bbox(df, -30, 45, lon_min=100), "v", "lat"),
         "b2_map_binned": lambda: g.map_mean(df, "v", 400, axes=axes),
+        "b2_map_unaided": lambda: g.map_mean(df, "v", 400),
         "b2_map_full": lambda: g.map_mean(df, "v", None),
         "b3_hovmoller": lambda: g.hovmoller(df, "v", "lat", 400, axes=axes),
         "a1_reduce_time": lambda: g.reduce_dims(df, ["time", "level"], "mean", ["v", "w"]),

@@ -79,8 +79,8 @@ def _inferred(df: DataFrame) -> DataFrame:
 def read_many(spark: SparkSession, paths: str | Sequence[str], fmt: str | None = None) -> DataFrame:
     """Several files, or a glob, as one dataset; columns are matched by name.
 
-    Parquet and JSON match by name within one scan, so the plan does not grow
-    with the number of files; lists of delimited files with headers are united.
+    Parquet and JSON match by name within one scan; delimited files take one scan
+    per distinct header, so the plan does not grow with the number of files.
     """
     listed = [paths] if isinstance(paths, str) else list(paths)
     ext = fmt or extension(listed[0])
@@ -89,12 +89,23 @@ def read_many(spark: SparkSession, paths: str | Sequence[str], fmt: str | None =
         df = spark.read.option("mergeSchema", True).parquet(*listed)
         roles = column_roles(df)
         return nan_to_null(df, [c for c in df.columns if c not in roles])
-    if kind == "json" or len(listed) == 1:
+    if kind == "json":
         return read_table(spark, listed, ext)
-    parts = [read_table(spark, p, ext) for p in listed]
+    parts = [read_table(spark, files, ext) for files in _by_header(spark, listed)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def _by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """Files of equal first lines, so that each scan has one order and set of columns."""
+    lines = spark.read.text(paths).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    lines = lines.withColumn("_at", F.monotonically_increasing_id()).filter("file_block_start = 0")
+    heads = lines.groupBy("file_path").agg(F.min_by("value", "_at").alias("header"))
+    groups = heads.groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("files")).orderBy("files").collect()
+    if not groups:
+        raise ValueError(f"No lines in {paths}")
+    return [list(r["files"]) for r in groups]
+
+
 def write_table(
     df: DataFrame,
     path: str,

@@ -70,6 +70,21 @@ def test_many_files_by_name(spark, tmp_path):
     assert g.read_many(spark, str(tmp_path / "*.csv")).count() == 2
 
 
+def test_glob_of_several_headers(spark, tmp_path):
+    for i, text in enumerate(["t,v,w\n1,2.0,5\n", "v,t,w\n4.0,2,6\n", "t,v\n3,6.0\n", "t,v,w\n4,8.0,7\n"]):
+        (tmp_path / f"{i}.csv").write_text(text)
+    got = rows(g.read_many(spark, str(tmp_path / "*.csv")), "t")
+    assert got["t"].tolist() == [1, 2, 3, 4] and got["v"].tolist() == [2.0, 4.0, 6.0, 8.0]
+    assert got["w"].isna().tolist() == [False, False, True, False]
+
+
+def test_folder_without_extension_needs_a_format(spark, sample, tmp_path):
+    sample.write.parquet(str(tmp_path / "plain"))
+    with pytest.raises(ValueError, match="format"):
+        g.read_table(spark, str(tmp_path / "plain"))
+    assert g.read_table(spark, str(tmp_path / "plain"), "parquet").count() == sample.count()
+
+
 def test_filters_reach_the_file_reader(spark, sample, tmp_path):
     path = str(tmp_path / "s.parquet")
     sample.write.parquet(path)
