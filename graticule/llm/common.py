@@ -27,6 +27,8 @@ def ship(spark: SparkSession) -> None:
         archive = os.path.join(tempfile.mkdtemp(prefix="graticule-"), "graticule-package")
         spark.sparkContext.addPyFile(shutil.make_archive(archive, "zip", root, "graticule"))
         _SHIPPED.add(app)
+    # texts can be long: small batches bound what a Python worker holds at once
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

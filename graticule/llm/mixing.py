@@ -34,11 +34,9 @@ class Domains:
 def train_domains(docs: DataFrame, labels: DataFrame, domains: dict[str, Column], doc_id: str = "doc_id", text: str = "text", per_class: int = 1200) -> Domains:
     """Fit each domain against the others on a bounded sample of labelled rows (2 * per_class per domain at most)."""
     rows, shares = labelled_sample(docs, labels, domains, doc_id, text, per_class)
-    parsed = [words_and_shape(t) for _, t, _ in rows]
-    dense = np.array([d for _, d in parsed]).reshape(-1, SHAPES)
     member = np.array([c for _, _, c in rows], dtype=bool).reshape(-1, len(domains))
-    words, every = Words([w for w, _ in parsed]), np.arange(len(rows))
-    links = [fit_linear(words, dense, member[:, k], every)[0] for k in range(len(domains))]
+    words, every = Words([t for _, t, _ in rows]), np.arange(len(rows))
+    links = [fit_linear(words, words.dense, member[:, k], every)[0] for k in range(len(domains))]
     if not sum(shares):
         links, shares = [Linear({}, [0.0] * SHAPES, 0.0) for _ in domains], [1.0] * len(domains)
     return Domains(list(domains), links, shares)

@@ -65,15 +65,23 @@ class Chain:
 
 
 class Words:
-    """The words of a sample of texts as numbers: only words that at least ``least`` texts have."""
+    """The words of a sample of texts as numbers, only those that at least ``least`` texts have, and the texts' shapes.
 
-    def __init__(self, texts: list[set[str]], least: int = 4):
+    The texts are read twice, so that the driver holds numbers and never all words of all texts.
+    """
+
+    def __init__(self, texts: Sequence[str | None], least: int = 4):
         counts = Counter()
-        for words in texts:
+        shapes = []
+        for text in texts:
+            words, shape = words_and_shape(text)
             counts.update(words)
+            shapes.append(shape)
+        self.dense = np.array(shapes).reshape(-1, SHAPES)
         self.names = sorted(w for w, n in counts.items() if n >= least)
+        del counts
         place = {w: i for i, w in enumerate(self.names)}
-        found = [np.fromiter((place[w] for w in words & place.keys()), dtype=np.int64) for words in texts]
+        found = [np.array([place[w] for w in words_and_shape(t)[0] if w in place], dtype=np.int64) for t in texts]
         self.row = np.repeat(np.arange(len(texts)), [len(f) for f in found])
         self.word = np.concatenate([np.zeros(0, dtype=np.int64), *found])
 
@@ -146,11 +154,10 @@ def _best_threshold(p: np.ndarray, y: np.ndarray, share: float) -> float:
 
 def fit_chain(rows: list[tuple[int, str | None, list[int]]], names: Sequence[str], shares: Sequence[float] | None = None) -> Chain:
     """Fit the links in order: each is given the log odds that the earlier ones predict out of fold."""
-    parsed = [words_and_shape(t) for _, t, _ in rows]
-    texts, dense = [w for w, _ in parsed], np.array([d for _, d in parsed]).reshape(-1, SHAPES)
+    words, everyone = Words([t for _, t, _ in rows]), np.arange(len(rows))
+    dense = words.dense
     fold = np.array([zlib.crc32(str(d).encode()) % FOLDS for d, _, _ in rows])
     labels = np.array([c for _, _, c in rows], dtype=bool).reshape(-1, len(names))
-    words, everyone = Words(texts), np.arange(len(rows))
     links, thresholds = [], []
     for k, _ in enumerate(names):
         y = labels[:, k]
