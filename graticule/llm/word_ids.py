@@ -31,7 +31,7 @@ class WordIds:
     words as written, and their lower-case pieces); a full table starts afresh.
     """
 
-    LIMIT = 1 << 18
+    LIMIT = 3 << 17
 
     def __init__(self, path: str):
         # one thread per task: Spark has a task on every core already
