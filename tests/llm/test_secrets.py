@@ -54,3 +54,17 @@ def test_against_all_pairs(docs_of, odd_rows, prose):
 
 def test_empty(docs_of):
     assert sec.find_secrets(docs_of([])).collect() == []
+
+
+def test_parts_of_any_length(docs_of, prose):
+    key = "aB3" + "Qz7+" * 2000
+    given = []
+    for n in (16, 200, 201, 256, 344, 5000):
+        for i, part in enumerate(("client_id: app-77", "user_id=" + "ab.9" * 40, "https://api.example.org/" + "p/q1" * 90)):
+            given.append((10 * n + i, f"{prose(n, 20)} {part} {key[:n]} {prose(n + 1, 20)}"))
+    kinds = compare(docs_of, given)
+    for d, t in given:
+        assert kinds[d] == [("identifier", "identifier", "endpoint")[d % 10], "secret"]
+        spans = {k: t[a:z] for a, z, k in sec.weak_spans(t)}
+        assert spans["secret"] == key[: d // 10] and all(s == s.strip() and f" {s} " in t for s in spans.values())
+    assert sec.weak_spans("A" * 300 + "1") == sec.weak_spans("a" * 300) == sec.weak_spans("7" * 300) == []
