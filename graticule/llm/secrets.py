@@ -82,7 +82,7 @@ def _linked(parts: DataFrame, reach: int) -> DataFrame:
     # clipped to the stretch, so that the extremes of a stretch are enough
     low, high = F.greatest("start", F.col("cell") * reach), F.least("end", (F.col("cell") + 1) * reach)
     ends = cells.groupBy("_tag", "cell", F.col("kind").alias("other")).agg(F.min(low).alias("first"), F.max(high).alias("last"))
-    wide = F.sequence(F.greatest(F.lit(0), F.call_function("div", F.col("start") - reach, F.lit(reach))), F.call_function("div", F.col("end") - 1 + reach, F.lit(reach)))
+    wide = F.sequence(F.greatest(F.lit(0), F.call_function("div", F.col("start") - reach - 1, F.lit(reach))), F.call_function("div", F.col("end") + reach, F.lit(reach)))
     needs = F.create_map(*[x for k, c in COMPLEMENTS.items() for x in (F.lit(k), F.array(*map(F.lit, c)))])
     asked = (
         parts.select("_tag", "kind", "start", "end", F.explode(needs[F.col("kind")]).alias("other"))

@@ -68,3 +68,15 @@ def test_parts_of_any_length(docs_of, prose):
         spans = {k: t[a:z] for a, z, k in sec.weak_spans(t)}
         assert spans["secret"] == key[: d // 10] and all(s == s.strip() and f" {s} " in t for s in spans.values())
     assert sec.weak_spans("A" * 300 + "1") == sec.weak_spans("a" * 300) == sec.weak_spans("7" * 300) == []
+
+
+def test_exactly_at_reach(docs_of):
+    """Parts exactly ``reach`` characters apart link wherever they stand, those one further do not."""
+    secret, ident = "Zx81mNq0Rt5Yw2Ba7Kd9", "client_id: app-77"
+    given = []
+    for at in range(170, 230):
+        for away in (200, 201):
+            for i, (a, b) in enumerate(((secret, ident), (ident, secret))):
+                given.append((10 * (1000 * at + away) + i, " " * at + a + " " * away + b))
+    kinds = compare(docs_of, given)
+    assert all(len(kinds[d]) == (2 if d // 10 % 1000 == 200 else 0) for d, _ in given)
