@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +18,14 @@ WINDOW = 8  # words
 BLANK = " \t\n\v\f\r"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MEASURES = ("chars_per_token", "byte_share", "entropy")
+PEERS = 50  # texts a band is taken from at least
+# Where a band comes from, the first with enough texts: the language's class, it and its neighbour classes, the whole
+# language; entropy follows length more than language; at last all texts.
+WIDER = {
+    "chars_per_token": ("class", "near", "key", "any"),
+    "byte_share": ("class", "near", "key", "any"),
+    "entropy": ("class", "any_class", "any_near", "any"),
+}
 
 
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
@@ -103,38 +111,67 @@ def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: s
     return picked.mapInArrow(run, f"doc_id long, lang string, {longs}, {doubles}")
 
 
+def bands(sound: DataFrame, width: float) -> DataFrame:
+    """Per language (``_key``) and length class the band [low, high] of each measure.
+
+    The median less and plus ``width`` robust deviations: its distances to the quartiles
+    over 0.6745, either side its own, as the measures are skewed. A class of fewer than
+    ``PEERS`` texts takes its band from more of them, see ``WIDER``.
+    """
+    keys = {"class": ("_key", "_class"), "near": ("_key", "_near"), "key": ("_key", None), "any_class": (None, "_class"), "any_near": (None, "_near"), "any": (None, None)}
+    nothing = {"_key": F.lit(None).cast("string"), "_class": F.lit(None).cast("long")}
+
+    def peers(level: str, key: str | None, length: str | None, step: int = 0):
+        return F.struct(
+            F.lit(level).alias("level"), (F.col(key) if key else nothing["_key"]).alias("key"), (F.col("_class") + step if length else nothing["_class"]).alias("class")
+        )
+
+    asked = [peers(level, *by, step) for level, by in keys.items() for step in ((-1, 0, 1) if by[1] == "_near" else (0,))]
+    quartiles = [F.percentile_approx(m, [0.25, 0.5, 0.75], 1000).alias(m) for m in MEASURES]
+    dealt = sound.select(*MEASURES, F.explode(F.array(*asked)).alias("_"))
+    found = materialize(dealt.groupBy("_.level", "_.key", "_.class").agg(F.count(F.lit(1)).alias("n"), *quartiles), "bands")
+    cells = found.where("level = 'class'").select(F.col("key").alias("_key"), F.col("class").alias("_class"), F.struct("n", *MEASURES).alias("class"), F.lit(0).alias("_all"))
+    for level, (key, length) in list(keys.items())[1:]:
+        held = found.where(F.col("level") == level).select(F.col("key").alias("_key"), F.col("class").alias("_class"), F.struct("n", *MEASURES).alias(level), F.lit(0).alias("_all"))
+        by = [c for c, used in (("_key", key), ("_class", length)) if used] or ["_all"]
+        cells = cells.join(held.select(*by, level), by)
+    for m in MEASURES:
+        *levels, last = WIDER[m]
+        quartile = F.coalesce(*[F.when(F.col(v)["n"] >= PEERS, F.col(v)[m]) for v in levels], F.col(last)[m])
+        low, middle, high = (F.get(quartile, F.lit(k)) for k in range(3))
+        least = F.lit(0.02) if m == "byte_share" else middle * 0.02
+        cells = cells.withColumn(f"_low_{m}", middle - F.greatest((middle - low) * width / 0.6745, least))
+        cells = cells.withColumn(f"_high_{m}", middle + F.greatest((high - middle) * width / 0.6745, least))
+    return cells.select("_key", "_class", *[f"_{side}_{m}" for m in MEASURES for side in ("low", "high")])
+
+
 def fertility(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", vocabulary: str | None = None, width: float = 6.0
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", vocabulary: str | None = None, width: float = 3.5
 ) -> DataFrame:
     """One row per input row: doc_id, lang, counts, n_tokens, measures, base_failed, kept.
 
     A text fails the base rule with fewer than 20 words, or when over 30 % of its words
     lie in repeated windows of 8. Otherwise it is kept if each measure lies in its band:
-    the quartiles over all documents of the language that pass the base rule, widened by
-    ``width`` quartile distances and by a tenth of the median, so that only outliers fall.
-    Entropy grows with length, so its bands are also by length class (2**k to 2**(k+1) tokens).
+    the median of the texts of its language and length class (2**k to 2**(k+1) tokens)
+    that pass the base rule, less and plus ``width`` robust deviations, see ``bands``.
 
     A null text has no words; a null language is a language of its own; a null doc_id stays
     null; repeated rows are judged alike; an empty table gives no rows; other columns are
     not read. Whole texts are read once; bands need one row per language and class.
     """
-    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    measured = measure(docs, doc_id, text, lang, vocabulary).withColumn("base_failed", failed)
-    measured = materialize(measured.withColumn("_class", F.floor(F.log2(F.greatest("n_tokens", F.lit(1))))), "fertility")
-    sound = measured.where("NOT base_failed")
+    measured = materialize(measure(docs, doc_id, text, lang, vocabulary), "fertility")
+    return judged(measured, width)
 
-    def bands(measures: Sequence[str], *by: str) -> DataFrame:
-        quartiles = [F.percentile_approx(m, [0.25, 0.5, 0.75], 1000).alias(f"_{m}") for m in measures]
-        return sound.groupBy(*by).agg(*quartiles).withColumnsRenamed({c: f"_of_{c}" for c in by})
 
-    same = F.col("lang").eqNullSafe(F.col("_of_lang"))
-    joined = measured.join(bands(MEASURES[:2], "lang"), same, "left").drop("_of_lang")
-    joined = joined.join(bands(MEASURES[2:], "lang", "_class"), same & (F.col("_class") == F.col("_of__class")), "left")
+def judged(measured: DataFrame, width: float = 3.5) -> DataFrame:
+    """The rows of ``measure`` with base_failed and kept."""
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    key = F.coalesce(F.concat(F.lit("="), "lang"), F.lit(""))
+    measured = measured.select("*", failed.alias("base_failed"), key.alias("_key"), F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))).alias("_class"))
+    joined = measured.join(bands(measured.where("NOT base_failed"), width), ["_key", "_class"], "left")
     inside = F.lit(True)
     for m in MEASURES:
-        low, middle, high = (F.get(f"_{m}", F.lit(k)) for k in range(3))
-        slack = width * (high - low) + middle / 10 + 0.02
-        inside = inside & F.col(m).between(low - slack, high + slack)
+        inside = inside & F.col(m).between(F.col(f"_low_{m}") - 1e-9, F.col(f"_high_{m}") + 1e-9)
     return joined.select("doc_id", "lang", *COUNTS, "n_tokens", *MEASURES, "base_failed", (~F.col("base_failed") & F.coalesce(inside, F.lit(True))).alias("kept"))
 
 

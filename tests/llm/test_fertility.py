@@ -51,3 +51,18 @@ def test_measures():
 
 def test_empty(docs_of):
     assert fert.fertility(docs_of([])).collect() == []
+
+
+def test_bands_bite(docs_of, prose):
+    """Texts of few words over and over, or with signs between, fall; nearly all others stay, also in small classes."""
+    given = [(i, prose(i, 60 + i % 300)) for i in range(400)]
+    given += [(500 + i, prose(600 + i, 60 + 40 * i).replace(" ", "### ")) for i in range(8)]
+    r = np.random.default_rng(3)
+    for i in range(8):
+        few = prose(700 + i, 12).split()
+        given.append((600 + i, " ".join(r.choice(few, 100 + 20 * i))))
+    given.append((700, prose(800, 6000)))  # alone in its class
+    rows = {r["doc_id"]: r for r in fert.fertility(docs_of(given)).collect()}
+    assert not any(rows[d]["base_failed"] for d in rows)
+    assert not any(rows[d]["kept"] for d in rows if 500 <= d < 700)
+    assert sum(rows[i]["kept"] for i in range(400)) >= 390
