@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from graticule.llm import chat, exact, fertility, jaccard, mixing, packing, passages, secrets, sharding, toxicity
+from graticule.llm import chat, collocations, exact, fertility, jaccard, mixing, packing, passages, secrets, setsketch, sharding, spelling, toxicity
 
 QUERIES = {
     "op1_hilbert_shards": sharding.query,
@@ -16,10 +16,14 @@ QUERIES = {
     "op8_soft_mixing": mixing.query,
     "op9_prefix_examples": chat.query,
     "op10_shared_passages": passages.query,
+    "op11_collocations": collocations.query,
+    "op12_setsketch_components": setsketch.query,
+    "op13_spelling_variants": spelling.query,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
     "op4_exact_dedup": exact.SQL,
     "op9_prefix_examples": chat.SQL,
+    "op11_collocations": collocations.SQL,
 }
