@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,8 @@ from graticule.session import materialize
 
 BREAK = b"."  # stands between pieces; never a word, as pieces are split there
 SEPARATORS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", BREAK * 10)
-HELD = 4 << 20  # bytes of chunks or phrases counted within a task before they are sent on
+HELD = 16 << 20  # bytes of text parsed within a task before its chunks are sent on
+KEYS = 200_000  # phrases counted within a task before they are sent on
 BITS = 1 << 26  # of the table of frequent phrases: 8 MB, whatever the corpus
 _STEP = 0x9E3779B97F4A7C15  # odd; its powers weigh the words of a window
 _SEED = 42  # of Spark's own xxhash64
@@ -59,17 +61,20 @@ class Tally:
     def __init__(self, names: list[str]):
         self.names, self.counts, self.size = names, {}, 0
 
-    def add(self, key: tuple, times: int) -> None:
-        if key in self.counts:
-            self.counts[key] += times
-        else:
-            self.counts[key] = times
-            self.size += len(key[1]) + 100
+    def add(self, lang: str, keys: Iterable, times: Iterable[int]) -> None:
+        """Keys (phrases, or chunks with what the next one has again) and how often each occurs."""
+        counts = self.counts.setdefault(lang, {})
+        held = len(counts)
+        for key, n in zip(keys, times):
+            counts[key] = counts.get(key, 0) + n
+        self.size += len(counts) - held
 
     def batch(self) -> pa.RecordBatch:
-        cols = list(zip(*self.counts)) or [()] * (len(self.names) - 1)
-        texts = [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.binary()).cast(pa.string())]
-        out = [*texts, *[pa.array(c, pa.int32()) for c in cols[2:]], pa.array(self.counts.values(), pa.int64())]
+        keys = [k for counts in self.counts.values() for k in counts]
+        langs = pa.array([lang for lang, counts in self.counts.items() for _ in counts], pa.string())
+        cols = list(zip(*keys)) or [(), ()] if len(self.names) > 3 else [keys]
+        out = [langs, pa.array(cols[0], pa.binary()).cast(pa.string()), *[pa.array(c, pa.int32()) for c in cols[1:]]]
+        out.append(pa.array([n for counts in self.counts.values() for n in counts.values()], pa.int64()))
         self.counts, self.size = {}, 0
         return pa.RecordBatch.from_arrays(out, names=self.names)
 
@@ -77,52 +82,79 @@ class Tally:
 def _parse(batches: Iterator[pa.RecordBatch], overlap: int, modulus: int) -> Iterator[pa.RecordBatch]:
     """Chunks of all texts with how often they occur, as far as a task holds them together."""
     tally = Tally(["lang", "chunk", "again", "times"])
+    held = 0
     for given in batches:
         for lang, t in zip(given.column(0).to_pylist(), given.column(1)):
-            for chunk, again in chunks(symbols(t.as_buffer().to_pybytes()) if t.is_valid else [], overlap, modulus):
-                tally.add((lang, chunk, again), 1)
-            if tally.size > HELD:
+            raw = t.as_buffer().to_pybytes() if t.is_valid else b""
+            tally.add(lang, chunks(symbols(raw), overlap, modulus), repeat(1))
+            held += len(raw)
+            if held > HELD:
                 yield tally.batch()
+                held = 0
     yield tally.batch()
 
 
-def code(lang: str, phrase: bytes) -> int:
-    """The place of a phrase in the table, the same as Spark's."""
+def seed_of(lang: str) -> int:
     from xxhash import xxh64_intdigest
 
-    return xxh64_intdigest(lang.encode() + b" " + phrase, _SEED) % BITS
+    return xxh64_intdigest(lang.encode(), _SEED)
+
+
+def places(phrases: Iterable[bytes], lang: str, count: int) -> np.ndarray:
+    """The bits of phrases in the table, the same as Spark's."""
+    from xxhash import xxh64_intdigest
+
+    found = np.fromiter(map(xxh64_intdigest, phrases, repeat(seed_of(lang))), dtype=np.uint64, count=count)
+    return (found % np.uint64(BITS)).astype(np.int64)
+
+
+def _phrases(words: list[bytes], starts: np.ndarray, width: int) -> list[bytes]:
+    """Phrases of ``width`` words where one starts."""
+    return list(map(b" ".join, compress(zip(*[words[i:] for i in range(width)]), starts[: len(words) - width + 1])))
 
 
 def _count(batches: Iterator[pa.RecordBatch], size: int, frequent: list) -> Iterator[pa.RecordBatch]:
     """Phrases of ``size`` words in distinct chunks, each chunk weighing as often as it occurs.
 
     ``frequent`` has a broadcast table of the frequent phrases per smaller size: a phrase
-    can be frequent only if those within it are.
+    can be frequent only if those within it are. The chunks of a batch are looked at as
+    one row of words with a break between any two.
     """
     tables = [np.frombuffer(b.value, dtype=np.uint8) for b in frequent]
     tally = Tally(["lang", "phrase", "n"])
     for given in batches:
-        for lang, chunk, again, times in zip(*[given.column(i).to_pylist() for i in range(4)]):
-            words = chunk.encode().split(b" ")
-            # starts[i]: a phrase can start here
-            starts = np.fromiter((w != BREAK for w in words), dtype=bool, count=len(words))
-            phrases = words
-            for width in range(2, size + 1):
+        langs = np.array(given.column(0).to_pylist(), dtype=object)
+        texts = np.array(given.column(1).cast(pa.binary()).to_pylist(), dtype=object)
+        again, times = (np.asarray(given.column(i)) for i in (2, 3))
+        for lang in dict.fromkeys(langs.tolist()):
+            mine = np.flatnonzero(langs == lang)
+            chunk = texts[mine].tolist()
+            words = (b" " + BREAK + b" ").join(chunk).split(b" ")
+            lengths = np.fromiter((c.count(b" ") for c in chunk), dtype=np.int64, count=len(chunk)) + 2
+            ends = np.cumsum(lengths) - 1
+            # words that the next chunk has again start no phrase here
+            first = np.ones(len(words) + 1, dtype=bool)
+            for back in range(1, int(again[mine].max(initial=0)) + 1):
+                first[ends[again[mine] >= back] - back] = False
+            starts = np.fromiter(map(BREAK.__ne__, words), dtype=bool, count=len(words))
+            for width in range(1, size):
+                # starts[i]: the ``width`` words from here on may be a frequent phrase
                 at = np.flatnonzero(starts)
-                places = np.fromiter((code(lang, phrases[i]) for i in at), dtype=np.int64, count=len(at))
-                starts[at] = tables[width - 2][places >> 3] >> (places & 7) & 1
-                starts = starts[:-1] & starts[1:]
-                phrases = {i: b" ".join(words[i : i + width]) for i in np.flatnonzero(starts).tolist()}
-            for i in np.flatnonzero(starts[: len(words) - again]).tolist():
-                tally.add((lang, phrases[i]), times)
-            if tally.size > HELD:
-                yield tally.batch()
+                bits = places(compress(words, starts) if width == 1 else _phrases(words, starts, width), lang, len(at))
+                starts[at] = tables[width - 1][bits >> 3] >> (bits & 7).astype(np.uint8) & 1
+                starts[:-1] &= starts[1:]
+                starts[len(starts) - 1 :] = False
+            starts &= first[: len(words)]
+            weight = np.repeat(times[mine], lengths)[: len(words)][starts]
+            tally.add(lang, compress(words, starts) if size == 1 else _phrases(words, starts, size), weight.tolist())
+        if tally.size > KEYS:
+            yield tally.batch()
     yield tally.batch()
 
 
 def _table_of(counts: DataFrame) -> bytes:
     """One bit per hash of a phrase: built by map-side unions, ``BITS`` bits whatever is counted."""
-    place = F.pmod(F.xxhash64(F.concat_ws(" ", "lang", "phrase")), F.lit(BITS))
+    place = F.pmod(F.xxhash64("lang", "phrase"), F.lit(BITS))
     page = 1 << 15  # bits of one bitmap aggregate
     pages = counts.select(F.floor(place / page).alias("page"), (place % page).alias("bit")).groupBy("page")
     out = bytearray(BITS // 8)
