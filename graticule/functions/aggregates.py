@@ -2,11 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 METHODS = ("mean", "sum", "std", "min", "max", "median", "count")
 ARRAY_METHODS = METHODS + ("var",)
+GRID_METHODS = ARRAY_METHODS + ("prod", "first", "last", "any", "all")
+
+
+# Reductions that need the order of the rows or look at truth only.
+ORDERED_METHODS = ("first", "last")
+LOGICAL_METHODS = ("any", "all")
+
+
+def array_reducer(method: str, c: Column, order: Sequence[Column]) -> Column:
+    """Further reductions the way arrays do them.
+
+    ``prod`` skips missing values and is 1 without any; ``first`` and ``last`` are the first
+    and last values that are not missing in the given order (rows of equal order: the
+    smaller, or larger, value); ``any`` and ``all`` ask for values other than 0, and a missing
+    one counts as such, as NaN does.
+    """
+    if method == "prod":
+        return F.coalesce(F.product(c), F.lit(1.0))
+    if method in ORDERED_METHODS:
+        place = F.when(c.isNotNull(), F.struct(*[o.alias(f"_{i}") for i, o in enumerate([*order, c])]))
+        return F.min_by(c, place) if method == "first" else F.max_by(c, place)
+    if method in LOGICAL_METHODS:
+        true = F.coalesce(c.cast("double") != 0, F.lit(True))
+        return F.bool_or(true) if method == "any" else F.bool_and(true)
+    raise ValueError(f"Unknown aggregation method: {method}")
 
 
 def check_method(method: str, known: tuple[str, ...] = METHODS) -> None:

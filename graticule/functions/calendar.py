@@ -83,6 +83,13 @@ def label(start: Column, freq: str) -> Column:
     return F.last_day(F.add_months(F.to_date(start), MONTHS[unit][1] - 1)).cast(NTZ)
 
 
+def bucket_end(start: Column, freq: str) -> Column:
+    """The first instant after the bucket that :func:`bucket` names so."""
+    if _parsed(freq)[0] == "W":
+        return start + F.expr("INTERVAL '1' DAY")
+    return start + step(freq)
+
+
 def step(freq: str) -> Column:
     """Distance between two neighbouring buckets."""
     unit, n = _parsed(freq)

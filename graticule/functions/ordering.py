@@ -46,3 +46,20 @@ def global_index(df: DataFrame, order: Sequence[str]) -> DataFrame:
         .withColumn("_row", F.col("_start") + F.col("_at"))
         .drop("_part", "_at", "_start")
     )
+
+
+def carried_max(df: DataFrame, order: Sequence[str], value: str, out: str) -> DataFrame:
+    """Add the largest ``value`` among all rows before each one in the total order, without a single-task sort.
+
+    Rows are sorted in ranges; a range starts from the largest value of those before it.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [col(c) for c in order]
+    placed = materialize(df.repartitionByRange(parts, *keys).withColumn("_part", F.spark_partition_id()), "swept")
+    tops = placed.groupBy("_part").agg(F.max(col(value)).alias("_top"))
+    # one row per range, so both the window and the broadcast are bounded
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    tops = tops.select("_part", F.max("_top").over(earlier).alias("_before"))
+    within = Window.partitionBy("_part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    swept = placed.join(F.broadcast(tops), "_part").withColumn(out, F.greatest(F.max(col(value)).over(within), F.col("_before")))
+    return swept.drop("_part", "_before")

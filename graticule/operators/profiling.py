@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -202,3 +202,52 @@ def estimate_size(df: DataFrame, columns: int | None = None) -> DataFrame:
         F.round(size / F.lit(1024.0**2), 1).alias("estimated_mb"),
         (F.col("rows") > MAX_ROWS_WARNING).alias("exceeds_warning"),
     )
+
+
+# Accuracy of distinct counts by sketches: 2**this registers.
+SKETCH_BITS = 14
+
+
+def distinct_error(bits: int = SKETCH_BITS) -> float:
+    """Relative standard error of a distinct count from sketches of this size."""
+    return 1.04 / 2 ** (bits / 2)
+
+
+def _sketched(df: DataFrame, name: str) -> Column:
+    """A column as the sketches take it: other types as text, which tells their values apart."""
+    c, dtype = col(name), type_of(df, name)
+    return c if isinstance(dtype, (T.IntegerType, T.LongType, T.StringType, T.BinaryType)) else c.cast("string")
+
+
+def column_sketches(df: DataFrame, by: Sequence[str] = (), bits: int = SKETCH_BITS, file: str | None = None) -> DataFrame:
+    """Per group (and file, under that name) and column: column, dtype, total, non_null and a sketch of the distinct values.
+
+    One scan for all columns, aggregated map-side: the shuffle carries sketches. Kept as a table,
+    new files or groups add rows; :func:`merged_report` unites any of them.
+    """
+    keys = [col(b) for b in by]
+    if file:
+        keys.append(df.metadataColumn("_metadata")["file_path"].alias(file))
+    names = [f.name for f in df.schema.fields if f.name not in by and not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType, T.VariantType))]
+    per_column = [
+        F.struct(F.count(col(n)).alias("non_null"), F.hll_sketch_agg(_sketched(df, n), F.lit(bits)).alias("sketch")).alias(f"_{i}") for i, n in enumerate(names)
+    ]
+    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"), *per_column)
+    parts = F.array(
+        *[F.struct(F.lit(n).alias("column"), F.lit(type_of(df, n).simpleString()).alias("dtype"), col(f"_{i}")["non_null"].alias("non_null"), col(f"_{i}")["sketch"].alias("sketch")) for i, n in enumerate(names)]
+    )
+    kept = [*by, *([file] if file else [])]
+    return found.select(*[col(k) for k in kept], "total", F.inline(parts)).select(*[col(k) for k in kept], "column", "dtype", "total", "non_null", "sketch")
+
+
+def merged_report(sketches: DataFrame, by: Sequence[str] = (), bits: int = SKETCH_BITS) -> DataFrame:
+    """Total, non-null and distinct values per column from kept sketches, united over all else; with the relative error."""
+    united = sketches.groupBy(*[col(b) for b in by], "column", "dtype").agg(
+        F.sum("total").alias("total"), F.sum("non_null").alias("non_null"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("unique_values")
+    )
+    return united.withColumn("relative_error", F.lit(distinct_error(bits)))
+
+
+def column_report_approx(df: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
+    """:func:`column_report` in one scan: distinct values estimated, with their relative standard error."""
+    return merged_report(column_sketches(df, bits=bits), bits=bits)

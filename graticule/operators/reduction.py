@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graticule.functions.aggregates import ARRAY_METHODS, check_method, reducer
+from graticule.functions.aggregates import ARRAY_METHODS, GRID_METHODS, array_reducer, check_method, reducer
 from graticule.functions.bins import AxisStats, Binning
 from graticule.functions.calendar import as_time, calendar_key
 from graticule.functions.columns import col, is_numeric, not_null, numeric_columns, require, type_of
@@ -102,12 +102,18 @@ def grid_reduce(
     method: str = "mean",
     dims: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Reduce a variable along dimensions the way arrays do (std and var with ddof 0)."""
-    check_method(method, ARRAY_METHODS)
+    """Reduce a variable along dimensions the way arrays do (std and var with ddof 0).
+
+    ``first`` and ``last`` go by the reduced dimensions in the order given; see
+    :func:`array_reducer` for these, ``prod``, ``any`` and ``all``.
+    """
+    check_method(method, GRID_METHODS)
     drop = [dim] if isinstance(dim, str) else list(dim)
     require(df, drop + [var])
     dims = list(column_roles(df)) if dims is None else dims
     keep = [d for d in dims if d not in drop and d != var]
+    if method not in ARRAY_METHODS:
+        return df.groupBy(*[col(k) for k in keep]).agg(array_reducer(method, col(var), [col(d) for d in drop]).alias(var))
     return grouped(df, keep, [var], method, ddof=0)
 
 
@@ -221,6 +227,22 @@ def zone_stats(
     )
 
 
+def band_stats(df: DataFrame, var: str, bands: Sequence[tuple[float, float, str]], lat: str = "lat") -> DataFrame:
+    """Mean, min, max and count per band (from, until before, name); the first that holds a row counts.
+
+    Rows in no band are in none; a band that ends at 90 holds the pole. Bands without rows are left out.
+    """
+    zone: Column | None = None
+    for low, high, name in bands:
+        inside = (col(lat) >= float(low)) & ((col(lat) < float(high)) | F.lit(high == 90) & (col(lat) <= 90.0))
+        zone = F.when(inside, name) if zone is None else zone.when(inside, name)
+    if zone is None:
+        raise ValueError("No bands given")
+    v = col(var)
+    rows = df.select(zone.alias("zone"), v).filter("zone IS NOT NULL")
+    return rows.groupBy("zone").agg(F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"), F.count(F.lit(1)).alias("count"))
+
+
 def contrast(df: DataFrame, var: str, by: str, cond_a: Column, cond_b: Column) -> DataFrame:
     """Means under two conditions side by side and b minus a."""
     out = df.groupBy(col(by)).agg(

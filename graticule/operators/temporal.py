@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graticule.functions.aggregates import ARRAY_METHODS, check_method
+from graticule.functions.aggregates import ARRAY_METHODS, GRID_METHODS, array_reducer, check_method
 from graticule.functions.calendar import (
     CALENDAR_KEYS,
     MONTH_NAMES,
@@ -107,8 +107,11 @@ def grid_resample(
     time: str = "time",
     dims: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Resample per cell on one shared time axis; empty buckets are NULL; std, var ddof 0."""
-    check_method(method, ARRAY_METHODS)
+    """Resample per cell on one shared time axis; empty buckets are NULL; std, var ddof 0.
+
+    ``first`` and ``last`` go by time; see :func:`array_reducer` for these, ``prod``, ``any`` and ``all``.
+    """
+    check_method(method, GRID_METHODS)
     check_frequency(freq)
     require(df, [time, var])
     dims = list(column_roles(df)) if dims is None else list(dims)
@@ -117,8 +120,11 @@ def grid_resample(
     rows = df.filter(not_null([time, *cell]))
     # buckets that do not divide a day count from the first day of the whole dataset
     origin = df.agg(F.min(t)).scalar() if needs_origin(freq) else None
-    bucketed = rows.select(*[col(c) for c in cell], bucket(t, freq, origin).alias(time), col(var))
-    out = grouped(bucketed, [*cell, time], [var], method, ddof=0)
+    bucketed = rows.select(*[col(c) for c in cell], bucket(t, freq, origin).alias(time), col(var), t.alias("_at"))
+    if method in ARRAY_METHODS:
+        out = grouped(bucketed.drop("_at"), [*cell, time], [var], method, ddof=0)
+    else:
+        out = bucketed.groupBy(*[col(c) for c in cell], time).agg(array_reducer(method, col(var), [F.col("_at")]).alias(var))
     # the time axis is that of the whole dataset; this reads one column
     ends = df.agg(F.min(t).alias("a"), F.max(t).alias("b"))
     day = F.col("a") if needs_origin(freq) else None
@@ -199,22 +205,7 @@ def trend(
         )
         fitted = F.col("_fit.v0") + F.col("_fit.slope") * (t - F.col("_fit.t0"))
     else:
-        # time scaled to -1 .. 1 keeps the powers well conditioned
-        low, high = F.min("_t"), F.max("_t")
-        scale = points.agg(
-            F.struct(((low + high) / 2.0).alias("middle"), F.greatest((high - low) / 2.0, F.lit(1e-9)).alias("half"))
-        ).scalar()
-        points = points.withColumn("_scale", scale).withColumn(
-            "_u", (F.col("_t") - F.col("_scale.middle")) / F.col("_scale.half")
-        )
-        powers = F.array(*[F.sum(F.pow("_u", F.lit(float(i)))) for i in range(2 * degree + 1)])
-        moments = F.array(*[F.sum(F.pow("_u", F.lit(float(i))) * F.col("_v")) for i in range(degree + 1)])
-        fit = _solve(powers, moments)
-        df = df.withColumn("_scale", scale)
-        u = (t - F.col("_scale.middle")) / F.col("_scale.half")
-        fitted = F.col("_fit")[degree]
-        for i in range(degree - 1, -1, -1):
-            fitted = fitted * u + F.col("_fit")[i]
+        return _polynomial(df, var, degree, list(by or []), points, t, v)
 
     if by:
         require(df, by)
@@ -227,15 +218,58 @@ def trend(
     )
 
 
+def _polynomial(df: DataFrame, var: str, degree: int, by: list[str], points: DataFrame, t: Column, v: Column) -> DataFrame:
+    """A trend of degree 2 or more.
+
+    Each group's time is scaled to -1 .. 1 by its own ends and its values are taken from
+    its own mean, then the sums are those of Chebyshev polynomials: the system stays well
+    conditioned for high degrees, short groups late on the axis and large values alike.
+    """
+    require(df, by)
+    low, high = F.min("_t"), F.max("_t")
+    frame = F.struct(((low + high) / 2.0).alias("middle"), F.greatest((high - low) / 2.0, F.lit(1e-9)).alias("half"), F.avg("_v").alias("mean")).alias("_frame")
+    keys = [col(k) for k in by]
+    if by:
+        frames = settled_side(points.groupBy(*keys).agg(frame))
+        framed = points.join(frames, by)
+    else:
+        framed = points.withColumn("_frame", points.agg(frame).scalar())
+
+    def chebyshev(u: Column) -> list[Column]:
+        out = [F.lit(1.0), u]
+        while len(out) <= degree:
+            out.append(2.0 * u * out[-1] - out[-2])
+        return out
+
+    def scaled(time: Column) -> Column:
+        return (time - F.col("_frame.middle")) / F.col("_frame.half")
+
+    basis = F.array(*chebyshev(F.col("_u")))
+    framed = framed.select(*keys, scaled(F.col("_t")).alias("_u"), (F.col("_v") - F.col("_frame.mean")).alias("_d")).withColumn("_p", basis)
+    at = range(degree + 1)
+    products = F.array(*[F.sum(F.col("_p")[i] * F.col("_p")[j]) for i in at for j in at])
+    fit = _solve_basis(products, F.array(*[F.sum(F.col("_p")[i] * F.col("_d")) for i in at])).alias("_fit")
+    if by:
+        fits = settled_side(framed.groupBy(*keys).agg(fit).join(frames, by))
+        joined = df.join(fits, by, "left")
+    else:
+        joined = df.withColumn("_frame", points.agg(frame).scalar()).withColumn("_fit", framed.agg(fit).scalar())
+    # Clenshaw's recurrence
+    u, ahead, after = scaled(t), F.lit(0.0), F.lit(0.0)
+    for i in range(degree, 0, -1):
+        ahead, after = F.col("_fit")[i] + 2.0 * u * ahead - after, ahead
+    fitted = F.col("_frame.mean") + F.col("_fit")[0] + u * ahead - after
+    return joined.select(*[col(c) for c in df.columns], fitted.alias(f"{var}_trend"), (v - fitted).alias(f"{var}_detrended"))
+
+
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
-def _solve(powers: pd.Series, moments: pd.Series) -> pd.Series:
-    """Coefficients of the normal equations, all small systems of a batch at once."""
-    found = np.array([p is not None and m is not None and all(x is not None for x in p) for p, m in zip(powers, moments)], dtype=bool)
-    solved = [None] * len(powers)
+def _solve_basis(products: pd.Series, moments: pd.Series) -> pd.Series:
+    """Coefficients of the least-squares systems of a batch; of deficient ones, the shortest."""
+    found = np.array([p is not None and m is not None and all(x is not None for x in (*p, *m)) for p, m in zip(products, moments)], dtype=bool)
+    solved = [None] * len(products)
     if found.any():
-        p, m = (np.stack([np.asarray(x, dtype=float) for x in s[found]]) for s in (powers, moments))
-        place = np.arange(m.shape[1])
-        inverse = np.linalg.pinv(p[:, place[:, None] + place], hermitian=True)
+        p, m = (np.stack([np.asarray(x, dtype=float) for x in s[found]]) for s in (products, moments))
+        inverse = np.linalg.pinv(p.reshape(len(p), m.shape[1], m.shape[1]), hermitian=True)
         for at, coefficients in zip(np.flatnonzero(found), np.einsum("gij,gj->gi", inverse, m)):
             solved[at] = coefficients
     return pd.Series(solved)

@@ -22,6 +22,7 @@ from graticule.functions.columns import (
     require,
     type_of,
 )
+from graticule.functions.ordering import global_index
 from graticule.functions.sizing import small_side
 from graticule.model import column_roles, detect_roles, numeric_variables
 from graticule.operators import profiling, reduction, selection, temporal
@@ -30,6 +31,9 @@ from graticule.session import configure
 from graticule.sources.chunks import axis_of, flatten_chunks
 
 
+# Positions further from either end of an axis are found by ranges, not by sorting all labels before them.
+DEEP = 10_000
+
 # Function names users bring along and their Spark names.
 SQL_NAMES = {"approx_percentile_cont": "approx_percentile"}
 _QUOTED_OR_NAME = re.compile(r"'(?:[^']|'')*'|\b(" + "|".join(SQL_NAMES) + r")(?=\s*\()", re.IGNORECASE)
@@ -167,6 +171,8 @@ class Grid:
             if position < 0:
                 position += axis.agg(F.max("idx")).first()[0] + 1
             row = axis.filter(F.col("idx") == position).first()
+        elif (position if position >= 0 else -position - 1) > DEEP:
+            row = placed_labels(axis).filter(F.col("idx") == (position if position >= 0 else axis.count() + position)).first()
         else:
             order = F.col("label").asc() if position >= 0 else F.col("label").desc()
             row = axis.orderBy(order).offset(position if position >= 0 else -position - 1).limit(1).first()
@@ -278,6 +284,11 @@ def _label_column(df: DataFrame, dim: str) -> str:
     return "coord_ts" if is_time(dtype) else "coord_num" if is_numeric(dtype) else "coord_str"
 
 
+def placed_labels(labels: DataFrame) -> DataFrame:
+    """Distinct labels with their positions, (idx, label), sorted in ranges and never in one task."""
+    return global_index(labels.select("label"), ["label"]).select(F.col("_row").alias("idx"), "label")
+
+
 def sel(grid: Grid, method: str | None = None, **labels: Any) -> DataFrame:
     """Select by label: a scalar drops its dimension, a list or slice keeps it.
 
@@ -348,7 +359,7 @@ def _position_range(grid: Grid, df: DataFrame, dim: str, where: slice) -> DataFr
         low, high = grid.label_at(dim, start), grid.label_at(dim, stop - 1)
         return df.filter(at_least(df, dim, low) & at_most(df, dim, high))
     if dim not in grid.axes:
-        raise ValueError(f"a stepped slice needs an axes table for dimension {dim!r}")
+        axis = placed_labels(axis)
     idx = F.col("idx")
     chosen = axis.filter(idx.between(start, stop - 1) & ((idx - start) % step == 0)).select(
         F.col("label").alias(dim)
