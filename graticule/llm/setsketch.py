@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graticule.functions.sizing import settled_side
 from graticule.llm.common import settled, table, tagged, without
 from graticule.llm.components import components
 from graticule.llm.jaccard import ngrams
@@ -26,6 +27,7 @@ CHUNK = 2000  # rows whose copies are found within a task before the shuffle
 BLOCK = 4096  # elements hashed at once
 BUCKETS = 1 << 20  # of the table that spares most texts a shuffle: at most 8 MB
 HOT = 1024  # pairs of one document in a task
+CENTRAL = 2  # rounds in which a bucket's most central class is compared
 DOUBT = 16.0  # log likelihood lost below which a pair is verified: one similar pair in 10**8 is not
 _STEP = 0x9E3779B97F4A7C15  # odd; its powers, mixed, are the registers' hash functions
 
@@ -148,7 +150,9 @@ def _judge(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
 
 def _with(pairs: DataFrame, side: DataFrame, key: str, other: str) -> DataFrame:
     """``pairs`` with the columns of ``side`` for ``key``; a document of very many pairs is dealt over copies of its row."""
-    hot = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT).select(key, F.ceil(F.col("_n") / HOT).cast("int").alias("_parts"))
+    hot = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT)
+    # few, and sent around only where they are counted to be
+    hot = settled_side(hot.select(key, F.ceil(F.col("_n") / HOT).cast("int").alias("_parts")))
     parts = F.coalesce("_parts", F.lit(1))
     dealt = pairs.join(hot, key, "left").withColumn("_part", F.pmod(F.xxhash64(other), parts).cast("int")).drop("_parts")
     copied = side.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
@@ -180,18 +184,23 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
     2. Each class has a SetSketch: 256 registers, mergeable by maximum. Of two sets of
        similarity J a register is the same with a chance of slightly over J. Bands of 5
        registers are compared: of pairs at 0.8, one in 10**8 has none of 51 in common.
-    3. The classes of a bucket are compared in rounds. A round counts each bucket's
-       classes per component found so far; those outside its largest component
-       compare themselves with the bucket's classes of other components, up to about 4 of
-       them in the first round, four times as many in each next one. Who was compared with
-       all leaves the bucket; buckets of one component are done. So a bucket of copies
-       costs a few rows per class, and only classes that stay apart are compared further.
-    4. A pair is judged by the joint likelihood of its registers, given both set sizes, and
+    3. Of the classes that share a bucket with others, the n-grams that more than one of
+       them has are counted: partners share no others. With s of a set of n, two sets are at
+       most min(s) / (n + n - min(s)) alike; whom that rules out leaves its buckets, and
+       pairs that it rules out are not made.
+    4. The classes of a bucket are compared in rounds. First the most central one (its
+       n-grams have the most holders on average) with all others, ``CENTRAL`` times; most
+       copies of a text link to these. Then those outside the bucket's largest component
+       compare themselves with the classes of other components, about 4 of them in the
+       first round, sixteen times as many in each next one. Who was compared with all leaves
+       the bucket; buckets of one component are done.
+    5. A pair is judged by the joint likelihood of its registers, given both set sizes, and
        verified on the whole sets (as 64-bit hashes) unless it is ruled out.
 
-    Many texts that are alike in 60 to 80 % and do not link are all compared: banding cannot
-    tell them from links. ``n_links`` counts the links verified for the class, as many as
-    the rounds needed: no pair within a component is looked for.
+    So copies of a text cost a few rows each. Texts that share nearly all n-grams with
+    others, are 60 to 80 % alike and yet do not link, are all compared: banding cannot tell them
+    from links. ``n_links`` counts the links verified for the class, as many as the rounds
+    needed: no pair within a component is looked for.
 
     Texts that are null, empty or blank have no set and are alone, each with its own id. Null
     ids do not name a component (null if all are). Of a component the row with the smallest
@@ -220,25 +229,41 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
     sketches = held.select(F.col("tag").alias("cls"), "n", "registers").join(met.hint("shuffle_hash"), "cls", "left_semi")
     sketches = materialize(sketches, "registers")
 
+    # what a class has in common with any other one
+    tokens = sets.select("cls", F.explode("tokens").alias("h"))
+    holders = tokens.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    common = tokens.join(holders, "h").groupBy("cls").agg(F.count(F.lit(1)).alias("s"), F.sum("df").alias("weight"))
+    common = sketches.select("cls", "n").join(common, "cls").where(100 * F.col("s") >= percent * F.col("n"))
+    common = materialize(common.withColumn("weight", F.col("weight") / F.col("n")), "common")
+    spots = spots.join(common.hint("shuffle_hash"), "cls")
+    smallest = spots.groupBy("key").agg(F.min("n").alias("_low"))
+    able = 100 * F.col("s") >= percent * (F.col("n") + F.greatest("_low", "s") - F.col("s"))
+    spots = materialize(spots.join(smallest, "key").where(able).drop("_low"), "spots")
+
     links, roots, tested = None, None, None
-    turn, leaders = 0, 4
+    turn, leaders = 0, 4.0
     while True:
         placed = spots.withColumn("root", F.col("cls"))
         if roots is not None:
             placed = spots.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-        sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-        sizes = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("main")).where("n > main.n")
-        sizes = sizes.select("key", (F.col("n") - F.col("main.n")).alias("apart"), F.col("main.root").alias("main"))
-        # the same classes lead in all their buckets, so that few pairs are new
-        chance = F.xxhash64("cls", F.lit(turn)).bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53)
-        leads = (F.col("root") != F.col("main")) & (chance * F.col("apart") < leaders)
-        placed = materialize(placed.join(sizes, "key").select("key", "cls", "root", leads.alias("leads")), "round")
+        sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("weight", "cls")).alias("top"))
+        sizes = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("main"), F.max("top").alias("top")).where("n > main.n")
+        sizes = sizes.select("key", (F.col("n") - F.col("main.n")).alias("apart"), F.col("main.root").alias("main"), F.col("top.cls").alias("top"))
+        if turn < CENTRAL:
+            leads = F.col("cls") == F.col("top")
+        else:
+            # the same classes lead in all their buckets, so that few pairs are new
+            chance = F.xxhash64("cls", F.lit(turn)).bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53)
+            leads = (F.col("root") != F.col("main")) & (chance * F.col("apart") < leaders)
+            leaders *= 16
+        placed = materialize(placed.join(sizes, "key").withColumn("leads", leads).drop("apart", "main", "top"), "round")
         if placed.isEmpty():
             break
-        first = placed.where("leads").select("key", F.col("cls").alias("a"), F.col("root").alias("ra"))
-        met_by = first.join(placed.select("key", F.col("cls").alias("b"), F.col("root").alias("rb"), "leads"), "key")
-        met_by = met_by.where((F.col("ra") != F.col("rb")) & (~F.col("leads") | (F.col("a") < F.col("b"))))
-        pairs = met_by.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        first = placed.where("leads").select("key", *[F.col(c).alias(f"{c}_a") for c in ("cls", "n", "s", "root")])
+        shared = F.least("s", "s_a")
+        fits = (F.col("root") != F.col("root_a")) & (~F.col("leads") | (F.col("cls_a") < F.col("cls"))) & (100 * shared >= percent * (F.col("n") + F.col("n_a") - shared))
+        met_by = first.withColumnRenamed("key", "_key").join(placed, (F.col("_key") == F.col("key")) & fits)
+        pairs = met_by.select(F.least("cls", "cls_a").alias("a"), F.greatest("cls", "cls_a").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
@@ -246,8 +271,8 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
         found = materialize(_links(pairs, sketches, sets, percent), "links")
         links = found if links is None else links.unionByName(found)
         roots = components(links.select("a", "b"))
-        spots = placed.where("NOT leads").select("key", "cls")
-        turn, leaders = turn + 1, 4 * leaders
+        spots = placed.where("NOT leads").select("key", "cls", "n", "s", "weight")
+        turn += 1
 
     # back to all rows
     if roots is not None:
