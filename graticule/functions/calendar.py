@@ -90,12 +90,12 @@ def bucket_end(start: Column, freq: str) -> Column:
     return start + step(freq)
 
 
-def step(freq: str) -> Column:
-    """Distance between two neighbouring buckets."""
+def step(freq: str, times: int = 1) -> Column:
+    """Distance between two neighbouring buckets, or so many of them."""
     unit, n = _parsed(freq)
     if unit in MONTHS:
-        return F.expr(f"INTERVAL '{MONTHS[unit][1]}' MONTH")
-    return F.expr(f"INTERVAL '{7 * DAY if unit == 'W' else SECONDS[unit] * n}' SECOND")
+        return F.expr(f"INTERVAL '{MONTHS[unit][1] * times}' MONTH")
+    return F.expr(f"INTERVAL '{(7 * DAY if unit == 'W' else SECONDS[unit] * n) * times}' SECOND")
 
 
 def calendar_key(t: Column, unit: str) -> Column:

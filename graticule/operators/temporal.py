@@ -29,6 +29,8 @@ from graticule.model import column_roles
 from graticule.operators.reduction import _booleans_as_numbers, grouped
 
 _EMPTY_BUCKET_ZERO = ("sum", "count")
+# Empty buckets made from one row at a time.
+GAP_STEPS = 1000
 
 
 def resample(
@@ -94,7 +96,10 @@ def _fill_between(
         start = F.when(F.lag(time).over(order).isNull(), F.col("_span.a")).otherwise(col(time))
         last = F.col("_span.b")
     ahead = out.withColumn("_to", F.coalesce(following - step(freq), last)).withColumn("_from", start)
-    spread = ahead.withColumn("_bucket", F.explode(F.sequence("_from", "_to", step(freq))))
+    # a long gap is cut first, so that no row holds it as one array
+    runs = ahead.withColumn("_from", F.explode(F.sequence("_from", "_to", step(freq, GAP_STEPS))))
+    upto = F.least("_to", F.col("_from") + step(freq, GAP_STEPS - 1))
+    spread = runs.withColumn("_bucket", F.explode(F.sequence("_from", upto, step(freq))))
     kept = [F.when(F.col("_bucket") == col(time), col(v)).otherwise(empty).alias(v) for v in values]
     return spread.select(*[col(g) for g in groups], F.col("_bucket").alias(time), *kept)
 
@@ -131,7 +136,8 @@ def grid_resample(
     span = ends.select(F.struct(bucket(F.col("a"), freq, day).alias("a"), bucket(F.col("b"), freq, day).alias("b"))).scalar()
     if not cell:
         ends = out.agg(F.min(time).alias("a"), F.max(time).alias("b"))
-        spine = ends.select(F.explode(F.sequence("a", "b", step(freq))).alias(time))
+        runs = ends.select(F.explode(F.sequence("a", "b", step(freq, GAP_STEPS))).alias("a"), "b")
+        spine = runs.select(F.explode(F.sequence("a", F.least("b", F.col("a") + step(freq, GAP_STEPS - 1)), step(freq))).alias(time))
         return _labelled(spine.join(out, time, "left").select(time, var), time, freq)
     return _labelled(_fill_between(out, time, freq, cell, [var], F.lit(None), span), time, freq)
 

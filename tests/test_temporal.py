@@ -262,3 +262,18 @@ def test_trend_by_group_of_degree_two(spark):
     got = rows(g.trend(frame(spark, pdf), "v", 2, by=["k"]), "k", "time")
     full = got[got["k"] != "z"]
     np.testing.assert_allclose(full["v_trend"].astype(float), full["v"].astype(float), rtol=1e-6)
+
+
+@pytest.mark.parametrize("freq, steps", [("h", 24 * 366), ("MS", 12)])
+def test_long_gaps_are_never_one_array(spark, freq, steps, monkeypatch):
+    """A stray late year: all buckets between appear, made in runs of a bounded length."""
+    from graticule.operators import temporal as tp
+
+    pdf = pd.DataFrame({"time": pd.to_datetime(["2020-01-01 00:00", "2020-01-01 05:00", "2120-01-01 00:00"]), "v": [1.0, 2.0, 4.0]})
+    got = g.resample(frame(spark, pdf), "time", freq, "sum", values=["v"])
+    whole = pd.date_range("2020-01-01", "2120-01-01", freq=freq)
+    assert got.count() == len(whole) and got.agg({"v": "sum"}).first()[0] == 7.0
+    assert got.select("time").distinct().count() == len(whole)
+    monkeypatch.setattr(tp, "GAP_STEPS", 7)
+    short = g.resample(frame(spark, pdf[:2].assign(time=pd.to_datetime(["2020-01-01", "2021-01-01"]))), "time", freq, "count", values=["v"])
+    assert short.count() == steps + 1
