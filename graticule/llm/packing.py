@@ -119,8 +119,9 @@ def pack(
             return made
 
         for given in batches:
-            for d, t in zip(given.column(0), given.column(1)):
-                ids = np.append(ids_of(t.as_buffer().to_pybytes() if t.is_valid else b""), np.uint16(end_id)).astype("<u4")
+            texts = (t.as_buffer().to_pybytes() if t.is_valid else b"" for t in given.column(1))
+            for d, found in zip(given.column(0), ids_of.texts(texts)):
+                ids = np.append(found, np.uint16(end_id)).astype("<u4")
                 total, key = len(ids), d.as_py()
                 whole = total // capacity * capacity
                 for start in range(0, whole, capacity):
