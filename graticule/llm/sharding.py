@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,42 +69,64 @@ def hilbert_index(levels: Sequence[Column], bits: int) -> Column:
     return F.aggregate(order, start, step)["index"]
 
 
-def _as_number(df: DataFrame, name: str) -> tuple[Column, Column | None]:
-    """A number in the column's own order; strings by the 6 bytes after what all of them begin with."""
+def _in_order(df: DataFrame, name: str) -> Column:
+    """A column to compare by: numbers and times as a double, all else as a string in byte order."""
     column, kind = df[name], df.schema[name].dataType
     if isinstance(kind, T.NumericType):
-        return column.cast("double"), None
+        return column.cast("double")
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(column.cast("timestamp")).cast("double"), None
-    ends = df.agg(F.min(column.cast("string")).alias("a"), F.max(column.cast("string")).alias("z")).first()
-    a, z = (ends["a"] or "").encode(), (ends["z"] or "").encode()
-    same = next((i for i, (x, y) in enumerate(zip(a, z)) if x != y), min(len(a), len(z)))
-    raw = F.substring(column.cast("string").cast("binary"), same + 1, 6)
-    return F.conv(F.rpad(F.hex(raw), 12, "0"), 16, 10).cast("double"), column
+        return F.unix_micros(column.cast("timestamp")).cast("double")
+    return column.cast("string")
+
+
+def _string_borders(df: DataFrame, value: Column, levels: int) -> list[str]:
+    """The values at which 1, 2, ... of ``levels`` equal shares of the rows are reached, in byte order.
+
+    Distinct values are counted (map-side first), dealt by range and summed up within each
+    range. The driver sees one number per shuffle partition and fewer than ``levels`` values.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = df.select(value.alias("v")).dropna().groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    dealt = materialize(counted.repartitionByRange(parts, "v").withColumn("_part", F.spark_partition_id()), "values")
+    starts, total = {}, 0
+    for part, n in sorted((r["_part"], r["n"]) for r in dealt.groupBy("_part").agg(F.sum("n").alias("n")).collect()):
+        starts[part] = total
+        total += n
+    if not total:
+        return []
+    before = F.element_at(F.create_map(*[F.lit(x) for p, s in starts.items() for x in (p, F.lit(s).cast("long"))]), F.col("_part"))
+    upto = before + F.sum("n").over(Window.partitionBy("_part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    summed = dealt.withColumn("_upto", upto)
+    reached = F.expr(f"least(_upto * {levels} div {total}, {levels - 1}) > (_upto - n) * {levels} div {total}")
+    return [r["v"] for r in summed.where(reached).select("v").collect()]
 
 
 def quantised(df: DataFrame, dims: Sequence[str], bits: int = 5, accuracy: int = 2000) -> list[Column]:
     """Per dimension the number of its quantile, 0 to 2**bits - 1; null is 0.
 
-    The 2**bits - 1 borders are read from all rows in one pass of mergeable sketches.
+    The 2**bits - 1 borders are read from all rows: those of numbers and times in one pass of
+    mergeable sketches, those of strings from the counts of whole values.
     """
-    numbers = {d: _as_number(df, d)[0] for d in dims}
+    values = {d: _in_order(df, d) for d in dims}
+    strings = [d for d in dims if isinstance(df.select(values[d]).schema[0].dataType, T.StringType)]
     cuts = [k / (1 << bits) for k in range(1, 1 << bits)]
-    borders = df.agg(*[F.percentile_approx(numbers[d], cuts, accuracy).alias(f"b{i}") for i, d in enumerate(dims)]).first()
+    sketched = [d for d in dims if d not in strings]
+    borders = dict(zip(sketched, df.agg(*[F.percentile_approx(values[d], cuts, accuracy) for d in sketched]).first())) if sketched else {}
+    borders |= {d: _string_borders(df, values[d], 1 << bits) for d in strings}
     levels = []
-    for i, d in enumerate(dims):
-        marks = sorted(set(borders[i] or []))
+    for d in dims:
+        marks = sorted(set(borders[d] or []), key=lambda m: m.encode() if isinstance(m, str) else m)
         if not marks:
             levels.append(F.lit(0))
             continue
         # a value's level is the number of borders below it, found by halving
-        def below(lo: int, hi: int, c: Column, marks: list[float] = marks) -> Column:
+        def below(lo: int, hi: int, c: Column, marks: list = marks) -> Column:
             if lo == hi:
                 return F.lit(lo)
             mid = (lo + hi) // 2
             return F.when(c <= F.lit(marks[mid]), below(lo, mid, c)).otherwise(below(mid + 1, hi, c))
 
-        levels.append(F.when(numbers[d].isNull(), 0).otherwise(below(0, len(marks), numbers[d])))
+        levels.append(F.when(values[d].isNull(), 0).otherwise(below(0, len(marks), values[d])))
     return levels
 
 

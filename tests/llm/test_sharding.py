@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from graticule.llm.sharding import curve_tables, hilbert_index, hilbert_shards
+from graticule.llm.sharding import curve_tables, hilbert_index, hilbert_shards, quantised
 
 
 @pytest.mark.parametrize(("dims", "bits"), [(2, 3), (3, 2), (4, 2)])
@@ -49,3 +49,21 @@ def test_hot_value_and_pruning(docs_of):
 
 def test_empty(docs_of):
     assert hilbert_shards(docs_of([]), ["source", "n_chars"]).collect() == []
+
+
+@pytest.mark.parametrize("hot", [1, 400])
+def test_string_levels_are_quantiles_of_whole_values(docs_of, hot):
+    """Values that differ far behind a common beginning, one that begins otherwise, nulls and a hot value."""
+    values = sorted(["ftp://a"] + [f"https://a.very.long.common.beginning/{i:02}é" for i in range(40)], key=str.encode)
+    rows = [(0, "t", "en", v, 1) for i, v in enumerate(values) for _ in range(hot if i == 20 else 1)] + [(0, "t", "en", None, 1)]
+    df = docs_of(rows)
+    level = {r["source"]: r["level"] for r in df.select("source", quantised(df, ["source"])[0].alias("level")).distinct().collect()}
+    n = {v: sum(r[3] == v for r in rows) for v in values}
+    total, upto, marks, at = len(rows) - 1, 0, [], 1
+    for v in values:
+        upto += n[v]
+        if at < 32 and upto * 32 >= at * total:
+            marks.append(v.encode())
+            at = upto * 32 // total + 1
+    assert level == {v: sum(m < v.encode() for m in marks) for v in values} | {None: 0}
+    assert hot > 1 or len(set(level.values())) == 32
