@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graticule.llm.common import table
+from graticule.llm.common import row_tag, settled, table
 from graticule.llm.toxicity import SHAPES, Linear, Words, fit_linear, labelled_sample, words_and_shape
 from graticule.session import materialize
 
@@ -107,36 +107,44 @@ def fit_rates(soft: DataFrame, weights: Sequence[float], rounds: int = 40, close
 
 
 def copies(rates: Column, key: Column, seed: int = 17) -> Column:
-    """How often a row is taken: the whole part of its rate, and once more with the rest as its chance (by hash of the key)."""
+    """How often a row is taken: the whole part of its rate, and once more with the rest as its chance (by the key, a hash)."""
     chance = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return (F.floor(rates) + F.when(chance < rates - F.floor(rates), 1).otherwise(0)).cast("int")
 
 
+def chance_key(doc_id: Column, text: Column, tag: Column) -> Column:
+    """What a row's chance hangs on: id and text, so that it holds wherever the row is stored; without an id, its place."""
+    return F.when(doc_id.isNotNull(), F.xxhash64(doc_id, text)).otherwise(tag)
+
+
 def mixture(docs: DataFrame, model: Domains, weights: Sequence[float], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: doc_id, tokens, a posterior per domain, rate and copies (how often it is taken).
 
     Tokens are words parted by ASCII white space. A null or empty text has no tokens and
-    its posteriors come from the priors; a null doc_id is a key like any other; repeated
-    rows get the same rate; without labels all domains are alike; a domain that no text
+    its posteriors come from the priors; rows with a null doc_id or with one doc_id and
+    different texts are drawn one by one; repeated rows get the same rate and copies; without labels all domains are alike; a domain that no text
     belongs to cannot meet its target and leaves the others as near as possible; an empty
     table gives no rows; other columns are not read.
     """
-    scored = docs.select(F.col(doc_id).alias("doc_id"), memberships(model)(F.col(text)).alias("m")).select("doc_id", "m.*")
+    docs = settled(docs)
+    key = chance_key(docs[doc_id], docs[text], row_tag(docs)).alias("_key")
+    scored = docs.select(F.col(doc_id).alias("doc_id"), key, memberships(model)(F.col(text)).alias("m")).select("doc_id", "_key", "m.*")
     soft = materialize(scored, "memberships")
-    steps = fit_rates(soft.drop("doc_id"), weights)
+    steps = fit_rates(soft.drop("doc_id", "_key"), weights)
     ps = [F.col(f"p{k}") for k in range(len(model.names))]
     rated = soft.withColumn("rate", rate(steps, ps))
-    return rated.select("doc_id", "tokens", *[p.alias(f"p_{n}") for p, n in zip(ps, model.names)], "rate", copies(F.col("rate"), F.col("doc_id")).alias("copies"))
+    return rated.select("doc_id", "tokens", *[p.alias(f"p_{n}") for p, n in zip(ps, model.names)], "rate", copies(F.col("rate"), F.col("_key")).alias("copies"))
 
 
 def mixed(docs: DataFrame, model: Domains, weights: Sequence[float], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows as often as their rates say, with all their columns."""
-    member = memberships(model)
+    member, docs = memberships(model), settled(docs)
     soft = materialize(docs.select(member(docs[text]).alias("m")).select("m.*"), "memberships")
     steps = fit_rates(soft, weights)
-    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), member(docs[text]).alias("m"))
-    rated = row.select("_row", rate(steps, [F.col(f"m.p{k}") for k in range(len(model.names))]).alias("rate"))
-    taken = rated.select("_row", copies(F.col("rate"), F.col("_row")[doc_id]).alias("_n")).where("_n > 0")
+    key = chance_key(docs[doc_id], docs[text], row_tag(docs)).alias("_key")
+    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), key, member(docs[text]).alias("m"))
+    rated = row.select("_row", "_key", rate(steps, [F.col(f"m.p{k}") for k in range(len(model.names))]).alias("rate"))
+    taken = rated.select("_row", copies(F.col("rate"), F.col("_key")).alias("_n")).where("_n > 0")
     return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy")).select("_row.*")
 
 

@@ -176,8 +176,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, categories: dict[str, Co
     """Up to per_class positive and as many negative rows per category, by hash of the id, and the shares in all labels.
 
     This bounded sample (at most 2 * per_class rows per category) is all that the
-    driver sees. Ids with several label rows count as positive if one of them is;
-    rows without an id or with a null label are left out of the fit.
+    driver sees. Ids with several label rows count as positive if one of them is; of an id with several texts the
+    smallest counts; rows without an id or with a null label are left out of the fit.
     """
     named = labels.select(F.col(doc_id).cast("long").alias("id"), *[c.cast("int").alias(f"c{i}") for i, c in enumerate(categories.values())])
     given = [f"c{i}" for i in range(len(categories))]
@@ -190,6 +190,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, categories: dict[str, Co
             picked = part if picked is None else picked.unionByName(part)
     picked = picked.distinct()
     found = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(F.broadcast(picked), "id")
+    # one row per id, however often it is repeated
+    found = found.groupBy("id", *given).agg(F.min("text").alias("text"))
     rows = sorted(((r["id"], r["text"], [r[c] for c in given]) for r in found.collect()), key=lambda r: (r[0], r[1] or ""))
     return rows, [float(s or 0) for s in shares]
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from graticule.llm import mixing
+from graticule.llm.common import settled, tagged
 
 
 @pytest.fixture(scope="module")
@@ -77,3 +78,15 @@ def test_odd_rows_and_no_labels(spark, docs_of, odd_rows):
     assert len(got) == len(odd_rows) and {round(r["p_good"], 6) for r in got} == {0.5}
     assert mixing.mixture(docs_of([]), model, (0.5, 0.5)).collect() == []
     assert mixing.mixed(docs_of([]), model, (0.5, 0.5)).collect() == []
+
+
+def test_rows_without_an_id_are_drawn_one_by_one(spark, docs_of, prose):
+    """Null ids and one id with many texts meet a rate of a half, too."""
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for rows in ([(None, "same text") for _ in range(1000)], [(7, prose(i, 3)) for i in range(1000)]):
+        df = docs_of(rows)
+        model = mixing.train_domains(df, none, mixing.quality_domains(none))
+        key = mixing.chance_key(F.col("doc_id"), F.col("text"), F.col("_tag"))
+        half = tagged(settled(df), F.col("doc_id"), F.col("text")).select(mixing.copies(F.lit(0.5), key).alias("n"))
+        assert 420 < half.agg(F.sum("n")).first()[0] < 580
+        assert mixing.mixture(df, model, (0.5, 0.5)).where("copies = 1").count() == 1000

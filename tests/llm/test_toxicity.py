@@ -66,3 +66,11 @@ def test_without_labels(spark, docs_of, odd_rows):
     assert tox.toxicity(docs_of(odd_rows), chain).where("rejected OR p_toxic > 0.001").collect() == []
     assert tox.toxicity(docs_of([]), chain).collect() == []
     assert tox.drop_toxic(docs_of([]), chain).collect() == []
+
+
+def test_a_repeated_id_is_fetched_once(spark):
+    docs = spark.range(50_000).selectExpr("1L AS doc_id", "concat('b', id) AS text").unionByName(spark.createDataFrame([(1, None), (2, "x"), (3, None)], "doc_id long, text string"))
+    labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (2, 0, 1), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    rows, shares = tox.labelled_sample(docs, labels, {"toxic": labels["toxic"]}, "doc_id", "text", 2)
+    assert rows == [(1, "b0", [0]), (2, "x", [1]), (3, None, [0])]
+    assert shares == [1 / 3]
