@@ -68,5 +68,5 @@ def test_mix_and_pack(stages):
 
 def test_registered():
     names = sorted(QUERIES)
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
     assert set(ORACLE) <= set(names)
