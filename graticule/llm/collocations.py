@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from functools import partial
-from itertools import compress, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from graticule.session import materialize
 BREAK = b"."  # stands between pieces; never a word, as pieces are split there
 SEPARATORS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", BREAK * 10)
 HELD = 16 << 20  # bytes of text parsed within a task before its chunks are sent on
-KEYS = 200_000  # phrases counted within a task before they are sent on
+KEYS = 500_000  # words of chunks whose phrases are counted together within a task
 BITS = 1 << 26  # of the table of frequent phrases: 8 MB, whatever the corpus
 _STEP = 0x9E3779B97F4A7C15  # odd; its powers weigh the words of a window
 _SEED = 42  # of Spark's own xxhash64
@@ -59,23 +60,21 @@ class Tally:
     """Counts per language and key, given out in batches of bounded size."""
 
     def __init__(self, names: list[str]):
-        self.names, self.counts, self.size = names, {}, 0
+        self.names, self.counts = names, {}
 
     def add(self, lang: str, keys: Iterable, times: Iterable[int]) -> None:
-        """Keys (phrases, or chunks with what the next one has again) and how often each occurs."""
+        """Keys (chunks with what the next one has again) and how often each occurs."""
         counts = self.counts.setdefault(lang, {})
-        held = len(counts)
         for key, n in zip(keys, times):
             counts[key] = counts.get(key, 0) + n
-        self.size += len(counts) - held
 
     def batch(self) -> pa.RecordBatch:
         keys = [k for counts in self.counts.values() for k in counts]
         langs = pa.array([lang for lang, counts in self.counts.items() for _ in counts], pa.string())
-        cols = list(zip(*keys)) or [(), ()] if len(self.names) > 3 else [keys]
-        out = [langs, pa.array(cols[0], pa.binary()).cast(pa.string()), *[pa.array(c, pa.int32()) for c in cols[1:]]]
+        texts, again = list(zip(*keys)) or [(), ()]
+        out = [langs, pa.array(texts, pa.binary()).cast(pa.string()), pa.array(again, pa.int32())]
         out.append(pa.array([n for counts in self.counts.values() for n in counts.values()], pa.int64()))
-        self.counts, self.size = {}, 0
+        self.counts = {}
         return pa.RecordBatch.from_arrays(out, names=self.names)
 
 
@@ -100,61 +99,97 @@ def seed_of(lang: str) -> int:
     return xxh64_intdigest(lang.encode(), _SEED)
 
 
-def places(phrases: Iterable[bytes], lang: str, count: int) -> np.ndarray:
-    """The bits of phrases in the table, the same as Spark's."""
+def hashes(words: Iterable[bytes], lang: str, count: int) -> np.ndarray:
+    """The hash of each word of a language, the same as Spark's."""
     from xxhash import xxh64_intdigest
 
-    found = np.fromiter(map(xxh64_intdigest, phrases, repeat(seed_of(lang))), dtype=np.uint64, count=count)
+    return np.fromiter(map(xxh64_intdigest, words, repeat(seed_of(lang))), dtype=np.uint64, count=count)
+
+
+def longer(h: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hashes of phrases with one word more: the phrase's turned by 7 bits, combined with the word's."""
+    return (h << np.uint64(7) | h >> np.uint64(57)) ^ word
+
+
+def places(phrases: Iterable[bytes], lang: str, count: int) -> np.ndarray:
+    """The bits of phrases in the table, the same as Spark's."""
+    words = [p.split(b" ") for p in phrases]
+    found = np.zeros(count, dtype=np.uint64)
+    for i, w in enumerate(words):
+        for h in hashes(w, lang, len(w)):
+            found[i] = longer(found[i], h)
     return (found % np.uint64(BITS)).astype(np.int64)
 
 
-def _phrases(words: list[bytes], starts: np.ndarray, width: int) -> list[bytes]:
-    """Phrases of ``width`` words where one starts."""
-    return list(map(b" ".join, compress(zip(*[words[i:] for i in range(width)]), starts[: len(words) - width + 1])))
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Chunks put together until they have ``KEYS`` words or more."""
+    kept, held = [], 0
+    for given in batches:
+        kept.append(given)
+        held += given.num_rows + (pc.sum(pc.count_substring(given.column(1), " ")).as_py() or 0)
+        if held >= KEYS:
+            yield pa.Table.from_batches(kept).combine_chunks()
+            kept, held = [], 0
+    if kept:
+        yield pa.Table.from_batches(kept).combine_chunks()
+
+
+def _weighed(chunk: pa.Array, again: np.ndarray, times: np.ndarray, lang: str, size: int, tables: list[np.ndarray]) -> tuple[pa.Array, np.ndarray]:
+    """Distinct phrases of ``size`` words in the chunks of a language, and the weights of the places where they start.
+
+    Words are numbers from the first look at the text on: each distinct one is hashed once
+    and each distinct phrase written out once, however often they occur.
+    """
+    split = pc.split_pattern(chunk, " ")
+    coded = split.flatten().dictionary_encode()
+    words, names = np.asarray(coded.indices).astype(np.int64), coded.dictionary
+    lengths = np.asarray(pc.list_value_length(split))
+    end = np.repeat(np.cumsum(lengths), lengths)
+    at, n = np.arange(len(words)), len(words)
+    starts = words != pc.index(names, BREAK.decode()).as_py()
+    if size > 1:
+        word = hashes(names.cast(pa.binary()).to_pylist(), lang, len(names))[words]
+        h = word.copy()
+    for width in range(1, size):
+        # starts: the ``width`` words from here on may be a frequent phrase
+        bits = (h % np.uint64(BITS)).astype(np.int64)
+        starts &= (tables[width - 1][bits >> 3] >> (bits & 7).astype(np.uint8) & 1).astype(bool)
+        starts[:-1] &= starts[1:]
+        starts &= at + width < end
+        h[: n - width] = longer(h[: n - width], word[width:])
+    # words that the next chunk has again start no phrase here
+    found = np.flatnonzero(starts & (at < end - np.repeat(again, lengths)))
+    phrase, phrases = words[found], names
+    for width in range(1, size):
+        pairs = pa.array(phrase * len(names) + words[found + width]).dictionary_encode()
+        known = np.asarray(pairs.dictionary)
+        phrase = np.asarray(pairs.indices).astype(np.int64)
+        phrases = pc.binary_join_element_wise(phrases.take(pa.array(known // len(names))), names.take(pa.array(known % len(names))), " ")
+    weights = np.bincount(phrase, weights=np.repeat(times, lengths)[found], minlength=len(phrases)).astype(np.int64)
+    return (phrases, weights) if weights.all() else (phrases.filter(pa.array(weights > 0)), weights[weights > 0])
 
 
 def _count(batches: Iterator[pa.RecordBatch], size: int, frequent: list) -> Iterator[pa.RecordBatch]:
     """Phrases of ``size`` words in distinct chunks, each chunk weighing as often as it occurs.
 
     ``frequent`` has a broadcast table of the frequent phrases per smaller size: a phrase
-    can be frequent only if those within it are. The chunks of a batch are looked at as
-    one row of words with a break between any two.
+    can be frequent only if those within it are.
     """
     tables = [np.frombuffer(b.value, dtype=np.uint8) for b in frequent]
-    tally = Tally(["lang", "phrase", "n"])
-    for given in batches:
-        langs = np.array(given.column(0).to_pylist(), dtype=object)
-        texts = np.array(given.column(1).cast(pa.binary()).to_pylist(), dtype=object)
-        again, times = (np.asarray(given.column(i)) for i in (2, 3))
-        for lang in dict.fromkeys(langs.tolist()):
-            mine = np.flatnonzero(langs == lang)
-            chunk = texts[mine].tolist()
-            words = (b" " + BREAK + b" ").join(chunk).split(b" ")
-            lengths = np.fromiter((c.count(b" ") for c in chunk), dtype=np.int64, count=len(chunk)) + 2
-            ends = np.cumsum(lengths) - 1
-            # words that the next chunk has again start no phrase here
-            first = np.ones(len(words) + 1, dtype=bool)
-            for back in range(1, int(again[mine].max(initial=0)) + 1):
-                first[ends[again[mine] >= back] - back] = False
-            starts = np.fromiter(map(BREAK.__ne__, words), dtype=bool, count=len(words))
-            for width in range(1, size):
-                # starts[i]: the ``width`` words from here on may be a frequent phrase
-                at = np.flatnonzero(starts)
-                bits = places(compress(words, starts) if width == 1 else _phrases(words, starts, width), lang, len(at))
-                starts[at] = tables[width - 1][bits >> 3] >> (bits & 7).astype(np.uint8) & 1
-                starts[:-1] &= starts[1:]
-                starts[len(starts) - 1 :] = False
-            starts &= first[: len(words)]
-            weight = np.repeat(times[mine], lengths)[: len(words)][starts]
-            tally.add(lang, compress(words, starts) if size == 1 else _phrases(words, starts, size), weight.tolist())
-        if tally.size > KEYS:
-            yield tally.batch()
-    yield tally.batch()
+    for given in _gathered(batches):
+        for lang in pc.unique(given.column(0)).to_pylist():
+            mine = given.filter(pc.equal(given.column(0), lang)).combine_chunks()
+            if mine.num_rows:
+                chunk, again, times = (mine.column(i).chunk(0) for i in (1, 2, 3))
+                phrases, weights = _weighed(chunk, np.asarray(again), np.asarray(times), lang, size, tables)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases), pa.string()), phrases, pa.array(weights)], names=["lang", "phrase", "n"])
 
 
 def _table_of(counts: DataFrame) -> bytes:
     """One bit per hash of a phrase: built by map-side unions, ``BITS`` bits whatever is counted."""
-    place = F.pmod(F.xxhash64("lang", "phrase"), F.lit(BITS))
+    turned = lambda h: F.shiftleft(h, 7).bitwiseOR(F.shiftrightunsigned(h, 57))
+    whole = F.aggregate(F.split("phrase", " "), F.lit(0).cast("long"), lambda h, word: turned(h).bitwiseXOR(F.xxhash64("lang", word)))
+    place = F.pmod(whole, F.lit(BITS))
     page = 1 << 15  # bits of one bitmap aggregate
     pages = counts.select(F.floor(place / page).alias("page"), (place % page).alias("bit")).groupBy("page")
     out = bytearray(BITS // 8)

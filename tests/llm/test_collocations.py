@@ -110,3 +110,22 @@ def test_empty(spark):
 
 def test_sql(spark):
     assert difference(c.query(spark, SF).toPandas(), connect(SF).execute(c.SQL).df()) is None
+
+
+def test_a_phrase_is_hashed_once_however_often_it_occurs(monkeypatch):
+    """Ten batches of the same chunks: each distinct word is hashed once, not once per place."""
+    import pyarrow as pa
+    import xxhash
+
+    class Table:
+        value = bytes([255]) * (c.BITS // 8)
+
+    chunk = pa.RecordBatch.from_arrays(
+        [pa.array(["en"] * 50), pa.array(["a b c . d"] * 50), pa.array([0] * 50, pa.int32()), pa.array([2] * 50, pa.int64())], names=["lang", "chunk", "again", "times"]
+    )
+    asked, hashed = [], xxhash.xxh64_intdigest
+    monkeypatch.setattr(xxhash, "xxh64_intdigest", lambda word, seed=0: asked.append(word) or hashed(word, seed))
+    got = Counter()
+    for batch in c._count(iter([chunk] * 10), 3, [Table, Table]):
+        got.update(dict(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())))
+    assert got == {"a b c": 1000} and len(asked) <= 5 + 1  # and once the language
