@@ -455,3 +455,18 @@ def test_trends_of_high_degree(spark):
     for k, part in pdf.groupby("k"):
         want.loc[part.index] = np.polynomial.Polynomial.fit(x[part.index], part["v"], 6)(x[part.index].to_numpy())
     np.testing.assert_allclose(got["v_trend"], want[order], rtol=0, atol=1e-6)
+
+
+def test_nearest_frame_summary_makes_no_pairs(spark, sample, sample_pdf):
+    """Aggregates of the rows at each target's label, one row per target row (repeated ones too), not one per pair."""
+    from pyspark.sql import functions as F
+
+    wanted = pd.DataFrame({"station": [1, 1, 2, 3], "lat": [12.0, 12.0, 44.0, None]})
+    targets = frame(spark, wanted)
+    sums = [F.count(F.lit(1)).alias("n"), F.sum("air").alias("total")]
+    got = g.nearest_frame(sample, targets, ["lat"], summary=sums)
+    assert got.columns == ["lat", "station", "nearest_lat", "n", "total"] or set(got.columns) == {"lat", "station", "nearest_lat", "n", "total"}
+    each = g.nearest_frame(sample, targets, ["lat"]).groupBy("station", "lat", "nearest_lat").agg(F.count(F.lit(1)).alias("n"), F.sum("air").alias("total"))
+    assert got.count() == 3 and each.agg(F.sum("n")).first()[0] == 900
+    merged = rows(got.groupBy("station", "lat", "nearest_lat").agg(F.sum("n").alias("n"), F.sum("total").alias("total")), "station")
+    pd.testing.assert_frame_equal(merged, rows(each, "station"), rtol=1e-9)
