@@ -137,14 +137,18 @@ def mixture(docs: DataFrame, model: Domains, weights: Sequence[float], doc_id: s
 
 
 def mixed(docs: DataFrame, model: Domains, weights: Sequence[float], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows as often as their rates say, with all their columns."""
-    member, docs = memberships(model), settled(docs)
-    soft = materialize(docs.select(member(docs[text]).alias("m")).select("m.*"), "memberships")
-    steps = fit_rates(soft, weights)
+    """The rows as often as their rates say, with all their columns.
+
+    The classifiers score each row once: the rows are written with their memberships, and
+    rates, copies and the choice are columns of that table.
+    """
+    docs = settled(docs)
     key = chance_key(docs[doc_id], docs[text], row_tag(docs)).alias("_key")
-    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), key, member(docs[text]).alias("m"))
-    rated = row.select("_row", "_key", rate(steps, [F.col(f"m.p{k}") for k in range(len(model.names))]).alias("rate"))
-    taken = rated.select("_row", copies(F.col("rate"), F.col("_key")).alias("_n")).where("_n > 0")
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("_row")
+    soft = materialize(docs.select(row, key, memberships(model)(docs[text]).alias("m")).select("_row", "_key", "m.*"), "memberships")
+    steps = fit_rates(soft.drop("_row", "_key"), weights)
+    rates = rate(steps, [F.col(f"p{k}") for k in range(len(model.names))])
+    taken = soft.select("_row", copies(rates, F.col("_key")).alias("_n")).where("_n > 0")
     return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy")).select("_row.*")
 
 

@@ -63,6 +63,12 @@ def test_rates_stop_at_zero(spark):
     assert np.allclose(rates, want, atol=1e-6) and min(rates) == 0
 
 
+def test_mixed_scores_each_row_once(docs_of, corpus, model):
+    # two evaluations in a stage were two Python workers per task, which stayed and filled the executors of the stages behind
+    got = mixing.mixed(docs_of(corpus), model, (0.5, 0.5))
+    assert "EvalPython" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_mixed_repeats_rows(docs_of, corpus, model):
     df = docs_of(corpus)
     want = {r["doc_id"]: r["copies"] for r in mixing.mixture(df, model, (0.5, 0.5)).collect()}
