@@ -28,6 +28,7 @@ BLOCK = 4096  # elements hashed at once
 BUCKETS = 1 << 20  # of the table that spares most texts a shuffle: at most 8 MB
 HOT = 1024  # pairs of one document in a task
 CENTRAL = 2  # rounds in which a bucket's most central class is compared
+MARKS = 16  # numbers of 64 bits that tell the n-grams of two sets apart
 DOUBT = 16.0  # log likelihood lost below which a pair is verified: one similar pair in 10**8 is not
 _STEP = 0x9E3779B97F4A7C15  # odd; its powers, mixed, are the registers' hash functions
 
@@ -128,12 +129,28 @@ def band_keys(registers: np.ndarray) -> np.ndarray:
     return (np.arange(count, dtype=np.int64) << (8 * BAND)) + digits @ (1 << (8 * np.arange(BAND, dtype=np.int64)))
 
 
+def marks(elements: np.ndarray) -> np.ndarray:
+    """A set's parity by place: a bit per place of ``MARKS`` numbers, turned over by each element there.
+
+    Where two sets differ in d elements, their marks differ in d bits at most. So two sets
+    of sizes n and m have no more than (n + m - differing bits) / 2 elements in common.
+    """
+    places = (elements * np.uint64(_STEP)) >> np.uint64(64 - (64 * MARKS).bit_length() + 1)
+    odd = np.bincount(places.astype(np.int64), minlength=64 * MARKS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+_MARKED = [f"m{i}" for i in range(MARKS)]
+
+
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for given in batches:
         sets = [ngrams(t.as_buffer().to_pybytes() if t.is_valid else b"", words) for t in given.column(1)]
         offsets = pa.array(np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32))
         tokens = np.concatenate([np.zeros(0, dtype=np.uint64), *sets]).view(np.int64)
-        yield pa.RecordBatch.from_arrays([given.column(0), pa.ListArray.from_arrays(offsets, pa.array(tokens, pa.int64()))], names=["cls", "tokens"])
+        table = np.array([marks(s) for s in sets], dtype=np.int64).reshape(-1, MARKS)
+        arrays = [given.column(0), pa.ListArray.from_arrays(offsets, pa.array(tokens, pa.int64())), *[pa.array(table[:, i]) for i in range(MARKS)]]
+        yield pa.RecordBatch.from_arrays(arrays, names=["cls", "tokens", *_MARKED])
 
 
 def _judge(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -225,7 +242,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
     bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS)).alias("_bucket")
     near = given.select("_tag", "text", bucket("_tag")).join(F.broadcast(met.select(bucket("cls")).distinct()), "_bucket", "left_semi")
     texts = near.join(met.select(F.col("cls").alias("_tag")).hint("shuffle_hash"), "_tag", "left_semi").select("_tag", "text")
-    sets = materialize(texts.mapInArrow(partial(_sets, words=words), "cls long, tokens array<long>"), "sets")
+    sets = materialize(texts.mapInArrow(partial(_sets, words=words), "cls long, tokens array<long>, " + ", ".join(f"{m} long" for m in _MARKED)), "sets")
     sketches = held.select(F.col("tag").alias("cls"), "n", "registers").join(met.hint("shuffle_hash"), "cls", "left_semi")
     sketches = materialize(sketches, "registers")
 
@@ -259,10 +276,16 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
         placed = materialize(placed.join(sizes, "key").withColumn("leads", leads).drop("apart", "main", "top"), "round")
         if placed.isEmpty():
             break
-        first = placed.where("leads").select("key", *[F.col(c).alias(f"{c}_a") for c in ("cls", "n", "s", "root")])
-        shared = F.least("s", "s_a")
+        told, shared = [], F.least("s", "s_a")
+        sides = placed
+        if turn >= CENTRAL:
+            # few are left by now; those whose marks differ too much are no pair, so that a family of texts that do not link makes few
+            told, sides = _MARKED, placed.join(sets.select("cls", *_MARKED).hint("shuffle_hash"), "cls")
+            differ = reduce(lambda x, y: x + y, [F.bit_count(F.col(m).bitwiseXOR(F.col(f"{m}_a"))) for m in _MARKED])
+            shared = F.least(shared, F.floor((F.col("n") + F.col("n_a") - differ) / 2))
+        first = sides.where("leads").select("key", *[F.col(c).alias(f"{c}_a") for c in ("cls", "n", "s", "root", *told)])
         fits = (F.col("root") != F.col("root_a")) & (~F.col("leads") | (F.col("cls_a") < F.col("cls"))) & (100 * shared >= percent * (F.col("n") + F.col("n_a") - shared))
-        met_by = first.withColumnRenamed("key", "_key").join(placed, (F.col("_key") == F.col("key")) & fits)
+        met_by = first.withColumnRenamed("key", "_key").join(sides, (F.col("_key") == F.col("key")) & fits)
         pairs = met_by.select(F.least("cls", "cls_a").alias("a"), F.greatest("cls", "cls_a").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")

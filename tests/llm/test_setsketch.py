@@ -122,3 +122,36 @@ def test_bands_meet():
     """Of pairs at 80 %, all share a band; of those at 20 %, few do."""
     met = {share: sum(bool(np.intersect1d(*[s.band_keys(s.sketch(x)) for x in pair(200, share, seed)]).size) for seed in range(300)) for share in (0.2, 0.8)}
     assert met[0.8] == 300 and met[0.2] < 40
+
+
+@pytest.mark.parametrize("n, share", [(1, 0.0), (7, 0.5), (200, 0.69), (200, 0.8), (3000, 0.8)])
+def test_marks_differ_no_more_than_sets(n, share):
+    for seed in range(20):
+        a, b = pair(n, share, seed)
+        differ = sum(bin((int(x) ^ int(y)) & (1 << 64) - 1).count("1") for x, y in zip(s.marks(a), s.marks(b)))
+        assert differ <= len(set(a.tolist()) ^ set(b.tolist()))
+    assert len(s.marks(a)) == s.MARKS
+
+
+def test_a_family_that_does_not_link_makes_few_pairs(docs_of, prose, monkeypatch):
+    """160 texts at about 70 %, each word run shared with others; all were paired with all before marks."""
+    base = prose(7, 220).split()
+    rng = random.Random(5)
+    given = []
+    for i in range(160):
+        words = list(base)
+        for at in rng.sample(range(len(words)), 10):
+            words[at] = f"other{rng.randrange(3)}"
+        given.append((i, " ".join(words)))
+    given += [(1000 + i, t) for i, t in given[:2]] + [(2000, " ".join(base))]
+    made, write = [], s.materialize
+
+    def counted(df, label):
+        out = write(df, label)
+        if label == "pairs":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(s, "materialize", counted)
+    assert rows_of(s.near_copies(docs_of(given))) == brute(given)
+    assert sum(made[s.CENTRAL :]) < 400
