@@ -165,8 +165,13 @@ def _judge(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([given.column(0).filter(keep), given.column(1).filter(keep), pa.array(estimate[possible])], names=["a", "b", "estimate"])
 
 
-def _with(pairs: DataFrame, side: DataFrame, key: str, other: str) -> DataFrame:
-    """``pairs`` with the columns of ``side`` for ``key``; a document of very many pairs is dealt over copies of its row."""
+def _with(pairs: DataFrame, side: DataFrame, key: str, other: str, few: bool) -> DataFrame:
+    """``pairs`` with the columns of ``side`` for ``key``; a document of very many pairs is dealt over copies of its row.
+
+    A few pairs, ``HOT`` at most, are sent to the rows instead.
+    """
+    if few:
+        return side.join(F.broadcast(pairs), key)
     hot = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT)
     # few, and sent around only where they are counted to be
     hot = settled_side(hot.select(key, F.ceil(F.col("_n") / HOT).cast("int").alias("_parts")))
@@ -180,12 +185,14 @@ def _links(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int)
     """The pairs that are similar enough, by likelihood first and then on whole sets: a, b, estimate."""
     a = sketches.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("registers").alias("ra"))
     b = sketches.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("registers").alias("rb"))
-    beside = _with(_with(pairs, b, "b", "a"), a, "a", "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    few = pairs.count() <= HOT
+    beside = _with(_with(pairs, b, "b", "a", few), a, "a", "b", few).where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     likely = beside.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(partial(_judge, percent=percent), "a long, b long, estimate double")
     likely = materialize(likely, "likely")
     a = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("ta"))
     b = sets.select(F.col("cls").alias("b"), F.col("tokens").alias("tb"))
-    whole = _with(_with(likely, b, "b", "a"), a, "a", "b")
+    few = likely.count() <= HOT
+    whole = _with(_with(likely, b, "b", "a", few), a, "a", "b", few)
     both = F.size(F.array_intersect("ta", "tb")).cast("long")
     return whole.where(100 * both >= percent * (F.size("ta") + F.size("tb") - both)).select("a", "b", "estimate")
 
@@ -290,10 +297,11 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = materialize(_links(pairs, sketches, sets, percent), "links")
-        links = found if links is None else links.unionByName(found)
-        roots = components(links.select("a", "b"))
+        if not pairs.isEmpty():
+            tested = pairs if tested is None else tested.unionByName(pairs)
+            found = materialize(_links(pairs, sketches, sets, percent), "links")
+            links = found if links is None else links.unionByName(found)
+            roots = components(found, roots)
         spots = placed.where("NOT leads").select("key", "cls", "n", "s", "weight")
         turn += 1
 

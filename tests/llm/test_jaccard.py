@@ -87,3 +87,21 @@ def test_components(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(31)}, 100: 100, 101: 100, 150: 150, 199: 150, 200: 150}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_components_of_further_links(spark, monkeypatch, few):
+    """Links found later join the components known, and the earlier ones are not looked at again."""
+    from graticule.llm import components as c
+
+    looked, plain = [], c.cut_lineage
+    monkeypatch.setattr(c, "FEW", few)
+    monkeypatch.setattr(c, "cut_lineage", lambda df: (done := plain(df), looked.append(done.count() if set(done.columns) == {"a", "b"} else 0))[0])
+    star, path = [(1000, i) for i in range(1001, 1040)], [(0, 1), (1, 2), (2, 3)]
+    later = [(3, 1020), (5000, 1039), (6000, 6001), (7, 7), (0, 2)]
+    frame = lambda links: spark.createDataFrame(links, "a long, b long").coalesce(1)
+    known = plain(c.components(frame(star + path)))
+    looked.clear()
+    got = {x["node"]: x["root"] for x in c.components(frame(later), known).collect()}
+    assert max(looked) <= 2 * len(later)
+    assert got == {**{i: 0 for i in [0, 1, 2, 3, 5000, *range(1000, 1040)]}, 6000: 6000, 6001: 6000}

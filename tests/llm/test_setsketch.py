@@ -155,3 +155,13 @@ def test_a_family_that_does_not_link_makes_few_pairs(docs_of, prose, monkeypatch
     monkeypatch.setattr(s, "materialize", counted)
     assert rows_of(s.near_copies(docs_of(given))) == brute(given)
     assert sum(made[s.CENTRAL :]) < 400
+
+
+@pytest.mark.parametrize("hot", [0, 3, 1024])
+def test_few_pairs_and_many(docs_of, prose, monkeypatch, hot):
+    """Pairs sent to the rows, dealt over copies of a row, and both in different rounds give the same."""
+    monkeypatch.setattr(s, "HOT", hot or 1)
+    if not hot:
+        monkeypatch.setattr(s, "_with", lambda pairs, side, key, other, few, f=s._with: f(pairs, side, key, other, False))
+    given = [(100 * base + i, near(prose(base, 60), i, 0.03 * (i % 4))) for base in range(4) for i in range(9)]
+    assert rows_of(s.near_copies(docs_of(given))) == brute(given)
